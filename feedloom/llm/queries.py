@@ -7,26 +7,89 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import exact_dedup, simhash
+from feedloom.llm import exact_dedup, mixing, packing, simhash, tokens
 from feedloom.llm.common import documents
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir)).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_length"
+    )
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sizes(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.histogram(tokens.length_counts(documents(spark, sf_dir)))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup_batch(documents(spark, sf_dir), exact_dedup.new_index(spark))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
+    "op3_mixing": op3_mixing,
+    "op4_token_counts": op4_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
 SQL: dict[str, str] = {
+    "op3_mixing": r"""
+        WITH docs AS (
+            SELECT doc_id, source,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   length(coalesce(text, '')) AS n,
+                   length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')) AS symbols,
+                   md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS hash
+            FROM documents
+        ), keyed AS (
+            SELECT doc_id, source, size,
+                   -ln((('0x' || substr(hash, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+                   / (1.0 / (1.0 + 20.0 * symbols::DOUBLE / (1 + n)::DOUBLE)) AS key
+            FROM docs
+        ), sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   row_number() OVER (ORDER BY source NULLS LAST) AS rank
+            FROM docs GROUP BY source
+        ), weighted AS (
+            SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight,
+                   source_size * 2 AS cap
+            FROM sources
+        ), level AS (
+            SELECT *,
+                   (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER before, 0)::DOUBLE)
+                   / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS level,
+                   row_number() OVER (ORDER BY cap::DOUBLE / weight, rank) AS place
+            FROM weighted
+            WINDOW before AS (ORDER BY cap::DOUBLE / weight, rank
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), held AS (
+            SELECT level AS held FROM level WHERE level * weight <= cap ORDER BY place LIMIT 1
+        ), goals AS (
+            SELECT source, source_size,
+                   least(cap::DOUBLE, coalesce((SELECT held FROM held) * weight, cap::DOUBLE)) AS target
+            FROM weighted
+        ), summed AS (
+            SELECT k.*, g.source_size, g.target,
+                   CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size)::BIGINT ELSE 0 END AS epochs,
+                   coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id, k.size
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM keyed k JOIN goals g ON k.source IS NOT DISTINCT FROM g.source
+        )
+        SELECT doc_id, size, source_size, target,
+               (epochs * size + greatest(0, least(size, floor(target)::BIGINT - epochs * source_size - before)))::BIGINT AS taken
+        FROM summed
+    """,
     "op7_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER g AS keep_id,
