@@ -10,8 +10,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.llm import exact_dedup, simhash
-from feedloom.llm.common import documents, shared_dir
+from feedloom.llm import exact_dedup, mixing, packing, qda, simhash
+from feedloom.llm.common import documents, labels, shared_dir
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go (operator 9)."""
+    model, _ = qda.train(docs, labels(spark, sf_dir))
+    return qda.accepted(docs, model)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +30,25 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_per_group(docs)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are mixed to their target weights (operator 3).
+
+    A document comes once per epoch, and once more for what it gives beyond.
+    """
+    return mixing.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix is tokenised and packed into windows (operator 1)."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("quality_classifier", quality),
     ("exact_dedup", exact),
     ("simhash_near_dedup", near),
+    ("mixing", mix),
+    ("packing", pack),
 ]
 
 #: Model training and token packing have no SQL form; tests hold a brute-force version.

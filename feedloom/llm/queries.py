@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import exact_dedup, mixing, packing, simhash, tokens
-from feedloom.llm.common import documents
+from feedloom.llm import exact_dedup, mixing, packing, qda, quality_rules, simhash, tokens
+from feedloom.llm.common import documents, labels
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,12 +35,24 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.apply_rules(documents(spark, sf_dir), labels(spark, sf_dir))
+    return found.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, feats = qda.train(documents(spark, sf_dir), labels(spark, sf_dir))
+    return qda.scores(feats, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
     "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 SQL: dict[str, str] = {
