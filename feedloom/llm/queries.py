@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import exact_dedup, mixing, packing, pii, qda, quality_rules, secrets, simhash, tokens
+from feedloom.llm import exact_dedup, licences, mixing, packing, pii, qda, quality_rules, secrets, simhash, tokens
 from feedloom.llm.common import documents, labels
 
 
@@ -34,6 +34,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup_batch(documents(spark, sf_dir), exact_dedup.new_index(spark))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
     "op5_pii": op5_pii,
+    "op6_licences": op6_licences,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
