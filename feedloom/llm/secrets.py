@@ -120,14 +120,15 @@ def train(docs: DataFrame) -> tuple[list[float], float]:
     return ratios, max(LEAST, cut if cut is not None else LEAST)
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: tuple[list[float], float] | None = None) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans``, one row per row of ``docs``.
 
+    ``model``: what :func:`train` gives; trained on ``docs`` where absent.
     Defined cases: a null text is empty; null and repeated ids are told apart
     by row; random strings that overlap a base span are not added; an empty
     table gives no rows; other columns are not read.
     """
-    ratios, least = train(docs)
+    ratios, least = train(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))) if model is None else model
     found = stage(scan(docs, _kinds(), id_col, text_col), "spans")
     tokens = found.filter(f"kind = {BASE}")
     extra = tokens.filter(ratio(F.col("match"), ratios) >= least).select("uid", "doc_id", "kind", "start", "end")
