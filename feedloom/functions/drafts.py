@@ -1,0 +1,151 @@
+"""Checks and scores of generated drafts as Column expressions.
+
+A check gives the first failure as its reason, or ``ok``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from feedloom.functions.text import any_hit, first_line, hit_count, line_count
+
+# Word lists and patterns of the checks.
+WEAK_HOOKS = ["值得关注", "重要更新", "最新消息", "又有新消息", "一文看懂", "简单说", "快速了解"]
+HARD_BANNED = [r"#\w+", "重磅|史诗|颠覆|天花板|神器|全民必备|彻底革新|震撼|惊艳", "让我深感|让我震撼"]
+SOFT_BANNED = [
+    "赋能|闭环|打法|矩阵|心智|调性|底层逻辑|维度|拐点",
+    "本质上|说白了|说穿了|归根结底|换句话说|值得注意的是",
+    "这意味着|真正的[核心终局护城河关键]|才是真正的|才是核心",
+    "不得不|不能不",
+    r"对\w+来说[，,]这",
+    "我看|我的判断|我认为|个人认为|在我看来|依我看",
+    "值得关注|不值得|先记一笔|可以关注|建议关注",
+    "未来已来|时代变了|我们拭目以待|未来可期",
+    "预示着|揭开了[.的]*序幕|分水岭|转折点",
+    "不容错过|值得深思|值得收藏",
+]
+IMPACT = [
+    "影响|风险|机会|适合|利好|门槛|成本|避坑|注意|权限|隐私|安全|涨价|下架|封锁|泄露|翻车|普通人|打工人|创作者|开发者|企业|学生",
+    "上线|开放|发布|更新|限制|停止|迁移|退出|转投|支持|不再支持",
+    "试试|上手|白嫖|免费|立刻|马上|今天就能|可用|对照|比较|入手|替代|学习|实测|体验|尝鲜|一键|3 步|5 步|三步|五步|配置|部署|设置",
+    "小白|新手|家长|学生党|宝妈|刚入门|设计|运营|销售|程序员|产品经理|管理层",
+    "涨|降|省|赚|补|扣|减|送|加|加量|升级|解锁|开启|关闭|取消",
+]
+NETWORK_TERMS = ["xray", "v2ray", "xtls", "vpn", "proxy", "代理", "翻墙", "科学上网", "节点"]
+UNSAFE_TERMS = ["节点", "机场", "订阅", "购买", "配置教程", "怎么配置", "绕过", "免翻", "免费节点", "客户端配置"]
+TITLE_BAIT = ["震惊", "绝了", "不看后悔", "全网疯传", "宝子", "家人们", "冲啊"]
+LONG_FORM_SIGNALS = [
+    "适合", "影响", "可以", "建议", "注意", "风险", "用来", "帮助", "避免", "普通人",
+    "打工人", "创作者", "创业者", "怎么", "判断", "避坑", "智能眼镜", "耳机", "音箱",
+    "家居", "陪伴", "教育", "学习", "翻译", "视频", "图片", "拍照", "健康", "孩子", "家长",
+    "出差", "生活", "新手", "场景", "适用", "价格", "权限", "隐私", "上手", "省时",
+    "省钱", "效果", "体验", "选择", "不适合",
+]
+JUDGEMENT = ["我看", "我的判断", "风险", "机会", "别", "但", "真正", "影响"]
+# Growth terms.
+GROWTH_TERMS = {
+    "search": ["AI", "工具", "教程", "技巧", "prompt", "提示词", "避坑", "平替", "测评", "效率", "免费", "新手"],
+    "save": ["收藏", "清单", "步骤", "模板", "直接抄", "复制", "对比", "避坑", "流程", "表格", "建议"],
+    "beginner": ["普通人", "新手", "小白", "入门", "打工人", "学生", "创作者", "怎么", "如何", "先看", "建议"],
+    "series": ["系列", "第", "每天", "每周", "清单", "模板", "工作流", "教程", "测评", "复盘"],
+    "jargon": ["benchmark", "endpoint", "CUDA", "kernel", "微调", "蒸馏", "推理框架", "编译器"],
+}
+
+
+def _search(text: Column, patterns: list[str]) -> Column:
+    return F.coalesce(text.rlike("(?U)" + "|".join(f"(?:{p})" for p in patterns)), F.lit(False))
+
+
+def _contains_any(text: Column, words: list[str]) -> Column:
+    hit = F.lit(False)
+    for w in words:
+        hit = hit | F.contains(text, F.lit(w))
+    return F.coalesce(hit, F.lit(False))
+
+
+def unsafe(text: Column) -> Column:
+    """Both a network term and an unsafe term occur."""
+    return any_hit(text, NETWORK_TERMS) & any_hit(text, UNSAFE_TERMS)
+
+
+def core_signal(title: Column, source: Column, text: Column) -> Column:
+    """A word of the title or the source occurs in the text, or any three characters in a row of a longer title."""
+    title, source = F.coalesce(title, F.lit("")), F.coalesce(source, F.lit(""))
+    words = F.slice(F.filter(F.split(title, r"(?U)[\s｜|:：,，。/\\\-—_()（）\[\]【】]+"), lambda t: F.length(t) >= 2), 1, 8)
+    names = F.slice(F.filter(F.split(source, r"(?U)[\s\-/_.]+"), lambda t: F.length(t) >= 3), 1, 3)
+    compact = F.regexp_replace(title, r"(?U)\s+", "")
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(compact) - 2, F.lit(1))), lambda i: F.substring(compact, i, F.lit(3)))
+    return F.exists(F.concat(words, names), lambda t: F.contains(text, t)) | ((F.length(compact) >= 6) & F.exists(grams, lambda g: F.contains(text, g)))
+
+
+def check_short(text: Column, title: Column, source: Column, material: Column, weak: list[str] | None = None) -> Column:
+    """The gate of the short text."""
+    t = F.trim(F.coalesce(text, F.lit("")))
+    head, lines, n = first_line(t), line_count(t), F.length(t)
+    shown = lambda c: c.cast("string")
+    return (
+        F.when(t == "", "tweet_content 空")
+        .when((lines < 2) | (lines > 10), F.concat(F.lit("X 内容行数 "), shown(lines), F.lit(" 不在 2-10")))
+        .when(n < 30, F.concat(F.lit("X 内容过短 ("), shown(n), F.lit(" 字)")))
+        .when(n > 380, F.concat(F.lit("X 内容过长 ("), shown(n), F.lit(" 字)")))
+        .when((F.length(head) < 6) | (F.length(head) > 130), F.concat(F.lit("X 首行长度 "), shown(F.length(head)), F.lit(" 不在 6-130")))
+        .when(_contains_any(head, weak or WEAK_HOOKS), F.concat(F.lit("X 首行 hook 过弱: "), F.substring(head, 1, 30)))
+        .when(_search(t, HARD_BANNED[:1]), "X 内容命中硬禁用词: " + HARD_BANNED[0])
+        .when(_search(t, HARD_BANNED[1:2]), "X 内容命中硬禁用词: " + HARD_BANNED[1])
+        .when(_search(t, HARD_BANNED[2:]), "X 内容命中硬禁用词: " + HARD_BANNED[2])
+        .when(~core_signal(title, source, t), "X 内容缺少素材核心实体/事件")
+        .when(~_search(t, IMPACT), "X 内容缺少影响/风险/机会/适合谁")
+        .when(unsafe(F.concat_ws("\n", material, t)), "网络工具内容触及配置/节点/绕过边界")
+        .otherwise("ok")
+    )
+
+
+def check_long(title: Column, body: Column, n_tags: Column, image: Column, signals: list[str] | None = None) -> Column:
+    """The gate of the long form."""
+    t, b, i = (F.trim(F.coalesce(c, F.lit(""))) for c in (title, body, image))
+    shown = lambda c: F.length(c).cast("string")
+    return (
+        F.when((t == "") | (b == ""), "小红书标题/正文空")
+        .when(~F.length(t).between(8, 30), F.concat(F.lit("小红书标题 "), shown(t), F.lit(" 字不在 8-30")))
+        .when(_contains_any(t, TITLE_BAIT), F.concat(F.lit("小红书标题标题党/硬广: "), F.substring(t, 1, 20)))
+        .when(~F.length(b).between(120, 450), F.concat(F.lit("小红书正文 "), shown(b), F.lit(" 字不在 120-450")))
+        .when(~n_tags.between(3, 8), F.concat(F.lit("小红书标签数 "), n_tags.cast("string"), F.lit(" 不在 3-8")))
+        .when(~F.length(i).between(30, 220), F.concat(F.lit("配图提示词 "), shown(i), F.lit(" 字不在 30-220")))
+        .when(hit_count(b, signals or LONG_FORM_SIGNALS) < 2, "小红书正文缺少影响/使用/避坑信息")
+        .otherwise("ok")
+    )
+
+
+def short_quality(text: Column, title: Column, source: Column, material: Column, weak: list[str] | None = None) -> Column:
+    """Struct ``score, notes``: points for hook, core, impact, size, plain words and judgement; 30 off where unsafe."""
+    t = F.trim(F.coalesce(text, F.lit("")))
+    head = first_line(t)
+    tests = [
+        (F.length(head).between(10, 70) & ~_contains_any(head, weak or WEAK_HOOKS), 22, "首行 hook 弱"),
+        (core_signal(title, source, t), 20, "核心实体弱"),
+        (_search(t, IMPACT), 20, "影响/风险/机会弱"),
+        (F.length(t).between(45, 280) & line_count(t).between(2, 8), 12, "长度/行数不佳"),
+        (~_search(t, SOFT_BANNED), 16, "命中套话/营销词"),
+        (~unsafe(F.concat_ws("\n", material, t)), -30, "网络工具边界风险"),
+        (_contains_any(t, JUDGEMENT), 10, "判断感不足"),
+    ]
+    score = sum((F.when(ok, max(points, 0)).otherwise(min(points, 0)) for ok, points, _ in tests), F.lit(0))
+    notes = F.concat_ws("；", *[F.when(~ok, F.lit(note)) for ok, _, note in tests])
+    return F.struct(F.least(score, F.lit(100)).cast("double").alias("score"), F.when(notes == "", "ok").otherwise(notes).alias("notes"))
+
+
+def hook_type(text: Column, angle: Column) -> Column:
+    """Kind of the first line, by ordered rules."""
+    head = first_line(text)
+    shift = F.coalesce(angle == "ecosystem_shift", F.lit(False))
+    return (
+        F.when(_contains_any(head, ["不是", "不只是", "表面", "真正"]), "反常识")
+        .when(_contains_any(head, ["风险", "隐私", "安全", "小心", "避坑", "封锁", "泄露"]), "风险提醒")
+        .when(_contains_any(head, ["机会", "利好", "窗口", "省", "成本"]), "机会窗口")
+        .when(shift, "生态迁移")
+        .when(_contains_any(head, ["圈", "地震", "小", "但"]), "圈层爆点")
+        .when(_contains_any(head, ["谁", "开发者", "创作者", "打工人", "普通用户", "企业"]), "谁受影响")
+        .when(angle == "cost_change", "成本变化")
+        .otherwise("谁受影响")
+    )

@@ -1,4 +1,9 @@
-"""The registered queries and their SQL."""
+"""The registered queries, each with SQL that gives the same rows.
+
+The tables hold invented prose, so vocabularies are parameters here and the
+tables stand in for the feeds: documents for items, pages for fetched pages,
+events and orders for feedback and status, conversations for drafts.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +11,574 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from feedloom.functions import drafts, rewrite, scoring, text
+from feedloom.operators import relations, sinks
+from feedloom.streaming import state
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+#: Terms of the invented prose that stand in for the vocabularies.
+TERMS = ["thon", "eau", "keit", "ción"]
+NOISE = ["ingen", r"eaux\s+le"]
+
+# Items as SQL: what ``items`` gives.
+ITEMS = """
+    SELECT doc_id AS ordinal, 'https://' || source || '.example/' || doc_id AS url,
+           substr(text, 1, 60) AS title, substr(text, 1, 200) AS snippet, text AS content, lang,
+           CASE doc_id % 7 WHEN 0 THEN 'github-trending' WHEN 1 THEN 'newsnow-' || source WHEN 2 THEN 'aihot-hot'
+                WHEN 3 THEN 'paper-feed' WHEN 4 THEN 'watchlist-tips' WHEN 5 THEN 'sspai' ELSE source END AS source,
+           CASE doc_id % 5 WHEN 0 THEN 'weibo' WHEN 1 THEN 'v2ex' WHEN 2 THEN 'other' END AS hot_list,
+           (doc_id * 37 % 101)::DOUBLE AS heat_score
+    FROM documents
+"""
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as items of several feeds."""
+    n = F.col("doc_id")
+    source = F.when(n % 7 == 0, "github-trending").when(n % 7 == 1, F.concat(F.lit("newsnow-"), "source")).when(n % 7 == 2, "aihot-hot")
+    source = source.when(n % 7 == 3, "paper-feed").when(n % 7 == 4, "watchlist-tips").when(n % 7 == 5, "sspai").otherwise(F.col("source"))
+    return table(spark, sf_dir, "documents").select(
+        n.alias("ordinal"),
+        F.concat(F.lit("https://"), "source", F.lit(".example/"), n.cast("string")).alias("url"),
+        F.substring("text", 1, 60).alias("title"),
+        F.substring("text", 1, 200).alias("snippet"),
+        F.col("text").alias("content"),
+        "lang",
+        source.alias("source"),
+        F.when(n % 5 == 0, "weibo").when(n % 5 == 1, "v2ex").when(n % 5 == 2, "other").alias("hot_list"),
+        (n * 37 % 101).cast("double").alias("heat_score"),
+    )
+
+
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    none = F.lit(None).cast("string")
+    rows = items(spark, sf_dir)
+    return rows.withColumn("category", scoring.category(F.col("source"), F.col("title"), F.col("snippet"), none, none, F.col("hot_list")))
+
+
+CATEGORY = """
+    CASE WHEN source LIKE '%newsnow%' AND hot_list = 'weibo' THEN '大众热搜'
+         WHEN source LIKE '%newsnow%' AND hot_list = 'v2ex' THEN '开发者社区'
+         WHEN lower(source || ' ' || title || ' ' || snippet) SIMILAR TO '(.|\\n)*(cve)(.|\\n)*' THEN '安全隐私'
+         WHEN regexp_matches(lower(source || ' ' || title || ' ' || snippet),
+              'xray|project x|xtls|v2ray|vless|vmess|reality|sing-box|clash|mihomo|hysteria|trojan|shadowsocks|vpn|proxy|gfw') THEN '网络工具'
+         WHEN source LIKE '%github%' THEN '开源项目'
+         WHEN source LIKE '%paper%' OR lower(source || ' ' || title || ' ' || snippet) LIKE '%arxiv%' THEN '论文研究'
+         WHEN source LIKE '%hot%' THEN '行业热点'
+         WHEN source LIKE '%sspai%' OR source LIKE '%tool%' THEN '效率工具'
+         ELSE '综合资讯' END
+"""
+
+
+@query("SELECT source, count(*) AS n_items FROM documents GROUP BY source")
+def agg_source_counts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n_items"))
+
+
+@query(f"""SELECT count(*) AS collected, count(*) - count(DISTINCT content) AS duplicates, count(DISTINCT content) AS after_dedup,
+    count(*) FILTER (WHERE heat_score >= 60) AS high FROM ({ITEMS})""")
+def agg_funnel(spark, sf_dir):
+    rows = items(spark, sf_dir).select(F.xxhash64("content").alias("h1"), F.md5("content").alias("h2"), "heat_score")
+    per = rows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.count_if(F.col("heat_score") >= 60).alias("high"))
+    return per.agg(F.sum("n").alias("collected"), (F.sum("n") - F.count("*")).alias("duplicates"), F.count("*").alias("after_dedup"), F.sum("high").alias("high"))
+
+
+@query(f"""SELECT source, count(*) AS n_items, count(*) FILTER (WHERE heat_score >= 60) AS n_high,
+    count(*) FILTER (WHERE hot_list IS NULL) AS n_unlisted FROM ({ITEMS}) GROUP BY source""")
+def agg_conditional(spark, sf_dir):
+    return items(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n_items"), F.count_if(F.col("heat_score") >= 60).alias("n_high"), F.count_if(F.col("hot_list").isNull()).alias("n_unlisted"))
+
+
+@query("SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY text")
+def dedup_first_wins(spark, sf_dir):
+    keyed = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("key"))
+    return keyed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies")).drop("key")
+
+
+@query("""WITH d AS (SELECT doc_id, sha256(text) AS key FROM documents),
+    f AS (SELECT min(doc_id) AS doc_id, key FROM d WHERE doc_id % 5 <> 0 GROUP BY key)
+    SELECT doc_id, key FROM f WHERE key NOT IN (SELECT key FROM d WHERE doc_id % 5 = 0)""")
+def dedup_against_history(spark, sf_dir):
+    keyed = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("key"))
+    return relations.new_only(keyed.filter("doc_id % 5 <> 0"), "key", keyed.filter("doc_id % 5 = 0"), ["doc_id"])
+
+
+@query("""WITH k AS (SELECT source || lang AS key, min(CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE 1000000000 + doc_id END) AS place,
+    arg_min(doc_id, CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE 1000000000 + doc_id END) AS seq FROM documents GROUP BY 1)
+    SELECT key, seq FROM k ORDER BY place DESC LIMIT 30""")
+def history_fifo(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.concat("source", "lang").alias("key"), F.col("doc_id").alias("seq"))
+    return relations.remember(rows.filter("seq % 2 = 0"), rows.filter("seq % 2 = 1"), "key", "seq", 30)
+
+
+URL_SQL = """
+    WITH u AS (SELECT page_id, url, regexp_extract(url, '^([^#?]*)', 1) AS base, regexp_extract(url, '^[^#?]*[?]([^#]*)', 1) AS q FROM pages),
+    p AS (SELECT page_id, regexp_replace(base, '/+$', '') AS base,
+          list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(split_part(x, '=', 1)), '^(utm_.*|ref|ref_source)$')) AS parts FROM u),
+    n AS (SELECT page_id, CASE WHEN len(parts) = 0 THEN base ELSE base || '?' ||
+          array_to_string(list_transform(parts, lambda x: CASE WHEN contains(x, '=') THEN x ELSE x || '=' END), '&') END AS clean FROM p)
+"""
+
+
+@query(URL_SQL + "SELECT page_id, clean FROM n")
+def url_normalise(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.normalise_url(F.col("url")).alias("clean"))
+
+
+@query(URL_SQL + "SELECT clean, min(page_id) AS page_id, count(*) AS n_pages FROM n GROUP BY clean")
+def url_dedup(spark, sf_dir):
+    return table(spark, sf_dir, "pages").groupBy(text.normalise_url(F.col("url")).alias("clean")).agg(F.min("page_id").alias("page_id"), F.count("*").alias("n_pages"))
+
+
+@query("SELECT page_id, regexp_replace(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), '^www[.]', '') AS host FROM pages")
+def url_host(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.parse_url("url", F.lit("HOST")), r"^www\.", "").alias("host"))
+
+
+_STRIPPED = "html"
+for _tag in ("script", "style", "nav", "footer", "header"):
+    _STRIPPED = f"regexp_replace({_STRIPPED}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}>', ' ', 'g')"
+_STRIPPED = f"regexp_replace({_STRIPPED}, '<[^>]+>', ' ', 'g')"
+for _name, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    _STRIPPED = f"replace({_STRIPPED}, '{_name}', '{_char}')"
+
+
+@query(f"SELECT page_id, length({_STRIPPED}) AS n_chars, md5({_STRIPPED}) AS hash FROM pages")
+def html_strip(spark, sf_dir):
+    plain = table(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("t"))
+    return plain.select("page_id", F.length("t").alias("n_chars"), F.md5("t").alias("hash"))
+
+
+@query("SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title FROM pages")
+def html_title(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("title"))
+
+
+_LINES = """array_to_string(list_filter(list_transform(string_split({t}, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
+    lambda x: NOT regexp_matches(x, '(?im)ingen|eaux\\s+le') AND length(regexp_replace(x, '\\s', '', 'g')) >= 5), chr(10))"""
+
+
+@query(f"WITH b AS (SELECT doc_id, {_LINES.format(t='text')} AS t FROM documents) SELECT doc_id, length(t) AS n_chars, md5(t) AS hash FROM b")
+def boilerplate_lines(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.strip_boilerplate(F.col("text"), NOISE).alias("t"))
+    return rows.select("doc_id", F.length("t").alias("n_chars"), F.md5("t").alias("hash"))
+
+
+@query("""WITH w AS (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[ \t]{2,}', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS t FROM documents),
+    h AS (SELECT doc_id, t, substr(t, 1, 1200) AS head FROM w),
+    l AS (SELECT *, regexp_extract(head, '(?s)^(.*)\n', 1) AS line FROM h)
+    SELECT doc_id, length(text) AS n_before, length(t) AS n_after, md5(t) AS hash FROM (
+        SELECT doc_id, CASE WHEN length(t) <= 1200 THEN t WHEN length(line) > 840 THEN line ELSE head END AS t FROM l) JOIN documents USING (doc_id)""")
+def clean_and_cut(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", text.cut(text.squeeze(F.col("text"))).alias("t"))
+    return rows.select("doc_id", F.length("text").alias("n_before"), F.length("t").alias("n_after"), F.md5("t").alias("hash"))
+
+
+@query()
+def clean_pages(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", text.clean_text(F.col("html")).alias("content"))
+    return rows.withColumn("n_chars", F.length("content"))
+
+
+@query(f"SELECT ordinal, {CATEGORY} AS category FROM ({ITEMS})")
+def classify(spark, sf_dir):
+    return classified(spark, sf_dir).select("ordinal", "category")
+
+
+_DEPTH = "CASE category WHEN '大众热搜' THEN 30.0 WHEN '开发者社区' THEN 70.0 WHEN '安全隐私' THEN 80.0 WHEN '网络工具' THEN 85.0 WHEN '开源项目' THEN 75.0 WHEN '论文研究' THEN 95.0 WHEN '行业热点' THEN 50.0 WHEN '效率工具' THEN 45.0 WHEN '综合资讯' THEN 55.0 ELSE 70.0 END"
+
+
+@query(f"""SELECT category, count(*) AS n_items, avg({_DEPTH})::DOUBLE AS depth FROM (SELECT {CATEGORY} AS category FROM ({ITEMS})) GROUP BY category""")
+def tech_depth(spark, sf_dir):
+    rows = classified(spark, sf_dir).withColumn("depth", scoring.tech_depth(F.col("category")))
+    return rows.groupBy("category").agg(F.count("*").alias("n_items"), F.avg("depth").alias("depth"))
+
+
+@query(f"""SELECT CASE WHEN avg(CASE WHEN {_DEPTH} <= 60 THEN 1.0 ELSE 0.0 END) > 0.5 THEN 'B' ELSE 'A' END AS branch, count(*) AS n_items
+    FROM (SELECT {CATEGORY} AS category FROM ({ITEMS}))""")
+def route_branch(spark, sf_dir):
+    shallow = F.avg(F.when(scoring.tech_depth(F.col("category")) <= 60, 1.0).otherwise(0.0))
+    return classified(spark, sf_dir).agg(F.when(shallow > 0.5, "B").otherwise("A").alias("branch"), F.count("*").alias("n_items"))
+
+
+_PICK = """CASE WHEN category LIKE '%大众%' OR category LIKE '%视频%' OR category LIKE '%效率工具%' THEN 'general'
+    WHEN category IN ('开源项目', '开发者社区') THEN 'tech'
+    WHEN source LIKE '%github%' OR source LIKE '%watchlist%' OR source LIKE '%paper%' THEN 'tech' ELSE 'neutral' END"""
+
+
+@query(f"""SELECT score_audience, pick_audience, count(*) AS n_items FROM (SELECT {_PICK} AS pick_audience,
+    CASE WHEN category IN ('大众热搜', '效率工具') THEN 'general' WHEN category IN ('开源项目', '开发者社区') THEN 'tech'
+         WHEN source LIKE '%github%' OR source LIKE '%watchlist%' THEN 'tech' ELSE 'neutral' END AS score_audience
+    FROM (SELECT *, {CATEGORY} AS category FROM ({ITEMS}))) GROUP BY ALL""")
+def audiences(spark, sf_dir):
+    rows = classified(spark, sf_dir)
+    return rows.groupBy(scoring.score_audience(F.col("category"), F.col("source")).alias("score_audience"), scoring.pick_audience(F.col("category"), F.col("source")).alias("pick_audience")).agg(F.count("*").alias("n_items"))
+
+
+_RULES = f"""
+    WITH m AS (SELECT *, lower(title || ' ' || snippet || ' ' || content || ' ' || source) AS t FROM ({ITEMS})),
+    a AS (SELECT *, greatest(0.0, CASE WHEN source LIKE '%watchlist%' THEN 58.0 ELSE 0 END, CASE WHEN source LIKE '%tips%' THEN 62.0 ELSE 0 END,
+          CASE WHEN source LIKE 'aihot%' OR source LIKE '%github%' THEN 55.0 ELSE 0 END)
+          + CASE WHEN contains(t, 'cve') OR contains(t, 'breaking change') THEN 8.0 ELSE 0 END AS s FROM m),
+    b AS (SELECT *, greatest(s, CASE WHEN hot_list = 'weibo' THEN 80.0 ELSE 0 END, CASE WHEN hot_list = 'v2ex' THEN 65.0 ELSE 0 END) AS s2 FROM a),
+    r AS (SELECT *, least(85.0, CASE WHEN heat_score <> 0 THEN greatest(s2, least(heat_score * 0.9::DOUBLE, 85.0)) ELSE s2 END)::DOUBLE AS rule FROM b)
+"""
+
+
+def _rules(spark, sf_dir):
+    c = F.col
+    rows = items(spark, sf_dir)
+    return rows.withColumn("rule", scoring.rule_score(c("title"), c("snippet"), c("content"), c("source"), F.lit(""), c("hot_list"), c("heat_score"), F.lit(0.9)))
+
+
+@query(_RULES + "SELECT ordinal, rule FROM r")
+def rule_score(spark, sf_dir):
+    return _rules(spark, sf_dir).select("ordinal", "rule")
+
+
+@query(_RULES + """SELECT ordinal, CASE WHEN regexp_matches(t, 'thon|eau|keit|ción') OR source LIKE '%watchlist%' OR source LIKE '%aihot%'
+    THEN least(100.0, greatest(50.0, rule) + CASE WHEN source LIKE '%github%' OR source LIKE '%watchlist%' THEN 6.0 ELSE 0.0 END)::DOUBLE ELSE 0.0::DOUBLE END AS score FROM r""")
+def fallback_score(spark, sf_dir):
+    bias = scoring.audience_bias(F.lit(""), F.col("source"))
+    words = F.concat_ws(" ", "title", "snippet", "content", "source")
+    return _rules(spark, sf_dir).select("ordinal", scoring.fallback_score(words, F.col("source"), F.col("rule"), bias, TERMS).alias("score"))
+
+
+@query(_RULES + """, l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id)
+    SELECT ordinal, (CASE WHEN coalesce(quality, 0) = 1 THEN least(100.0, greatest(coalesce(toxic, 0) * 95.0, rule)
+    + CASE WHEN source LIKE '%github%' OR source LIKE '%watchlist%' THEN 6.0 ELSE 0.0 END) ELSE 0.0 END)::DOUBLE AS score
+    FROM r LEFT JOIN l ON r.ordinal = l.doc_id""")
+def score_replies(spark, sf_dir):
+    replies = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("ordinal")).agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    rows = _rules(spark, sf_dir).join(replies, "ordinal", "left")
+    external = (F.coalesce("toxic", F.lit(0)) * 95).cast("double")
+    return rows.select("ordinal", scoring.final_score(external, F.col("rule"), scoring.audience_bias(F.lit(""), F.col("source")), F.col("quality") == 1).alias("score"))
+
+
+@query(f"""SELECT ordinal, CASE WHEN heat_score < 60 THEN 'REJECT' WHEN heat_score < 80 THEN 'REVIEW_QUEUE' ELSE 'AUTO_APPROVE' END AS action,
+    '热度分 ' || printf('%.1f', heat_score) || CASE WHEN heat_score < 60 THEN ' < 60.0 (低置信度)'
+    WHEN heat_score < 80 THEN ' 在 60-80 区间 (边缘案例，需人工审核)' ELSE ' >= 80.0 (高置信度)' END AS reason FROM ({ITEMS})""")
+def quality_gate(spark, sf_dir):
+    return items(spark, sf_dir).select("ordinal", scoring.gate(F.col("heat_score")).alias("g")).select("ordinal", "g.*")
+
+
+@query(f"""SELECT CASE WHEN heat_score < 60 THEN 'REJECT' WHEN heat_score < 80 THEN 'REVIEW_QUEUE' ELSE 'AUTO_APPROVE' END AS action,
+    count(*) AS n_items, avg(heat_score) AS avg_heat FROM ({ITEMS}) GROUP BY 1""")
+def quality_gate_counts(spark, sf_dir):
+    return items(spark, sf_dir).groupBy(scoring.gate(F.col("heat_score"))["action"].alias("action")).agg(F.count("*").alias("n_items"), F.avg("heat_score").alias("avg_heat"))
+
+
+@query(f"""SELECT ordinal FROM ({ITEMS}) WHERE length(content) >= 200 OR (length(content) >= 60 AND
+    (source LIKE 'newsnow%' OR source LIKE '%watchlist%' OR source LIKE '%github%' OR source LIKE '%aihot-hot%'))""")
+def evidence_filter(spark, sf_dir):
+    return items(spark, sf_dir).filter(scoring.enough_evidence(F.col("content"), F.col("source"), F.lit(""), F.lit(1))).select("ordinal")
+
+
+@query(f"""WITH e AS (SELECT ordinal, source, CASE WHEN length(trim(content)) >= 200 THEN 0 ELSE 1 END AS phase, length(trim(content)) AS n, page_id, length(html) AS fetched
+    FROM ({ITEMS}) LEFT JOIN pages ON ordinal = page_id)
+    SELECT ordinal, phase, CASE WHEN phase = 0 THEN n WHEN fetched >= 200 THEN least(2000, fetched) ELSE n END AS n_chars
+    FROM e WHERE phase = 0 OR fetched >= 200 OR n >= 60""")
+def enrich(spark, sf_dir):
+    rows = items(spark, sf_dir).select("ordinal", F.trim("content").alias("content"))
+    short = F.length("content") < 200
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("ordinal"), F.substring("html", 1, 2000).alias("page"))
+    kept = rows.filter(~short).select("ordinal", F.lit(0).alias("phase"), F.length("content").alias("n_chars"))
+    fetched = rows.filter(short).join(pages, "ordinal", "left")
+    n = F.when(F.length("page") >= 200, F.length("page")).when(F.length("content") >= 60, F.length("content"))
+    return kept.union(fetched.select("ordinal", F.lit(1).alias("phase"), n.alias("n_chars")).filter("n_chars is not null"))
+
+
+@query(f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY lang, hot_list ORDER BY heat_score DESC, length(content) DESC, length(snippet) DESC, ordinal) AS rn,
+    count(*) OVER (PARTITION BY lang, hot_list) AS cluster_size FROM ({ITEMS}) WHERE hot_list IS NOT NULL)
+    SELECT lang, hot_list, ordinal, cluster_size, cluster_size - 1 AS n_related FROM r WHERE rn = 1""")
+def event_representatives(spark, sf_dir):
+    rows = items(spark, sf_dir).filter("hot_list is not null")
+    return relations.representatives(rows, ["lang", "hot_list"]).select("lang", "hot_list", "ordinal", "cluster_size", F.size("related_urls").cast("long").alias("n_related"))
+
+
+@query()
+def event_clusters(spark, sf_dir):
+    """Greedy clusters of titles within a source, one batch of items each."""
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ordinal"), F.concat_ws(" ", "p_name", "p_type").alias("title"), F.concat_ws("-", "p_brand", (F.col("p_partkey") % 20).cast("string")).alias("batch"))
+    return relations.cluster_titles(rows, ["batch"])
+
+
+@query("SELECT p_partkey, lower(regexp_replace(p_name || ' - ' || p_type, '[\\s,.:;!?()_-]+', '', 'g')) AS title_key FROM part")
+def title_keys(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", text.title_key(F.concat_ws(" - ", "p_name", "p_type")).alias("title_key"))
+
+
+_GRAMS = "list_distinct(list_transform(range(1, length({c})), lambda i: substr({c}, i, 2)))"
+
+
+@query(f"""WITH g AS (SELECT p_partkey, {_GRAMS.format(c='p_name')} AS a, {_GRAMS.format(c='lower(p_type)')} AS b FROM part)
+    SELECT p_partkey, CASE WHEN least(len(a), len(b)) > 0 THEN len(list_intersect(a, b))::DOUBLE / least(len(a), len(b)) ELSE 0.0 END AS coverage FROM g""")
+def bigram_coverage(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", text.coverage(F.col("p_name"), F.lower("p_type")).alias("coverage"))
+
+
+@query("""SELECT doc_id, ((length(text) - length(replace(text, 'thon', ''))) / 4 + (length(text) - length(replace(text, 'eau', ''))) / 3
+    + (length(text) - length(replace(text, 'keit', ''))) / 4 + (length(text) - length(replace(text, 'ción', ''))) / 4)::BIGINT AS n_hits,
+    list_filter(['thon', 'eau', 'keit', 'ción'], lambda w: contains(lower(text), w)) AS terms FROM documents""")
+def term_hits(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.occurrences(F.col("text"), TERMS).cast("long").alias("n_hits"), text.matched(F.col("text"), TERMS).alias("terms"))
+
+
+@query("""WITH s AS (SELECT doc_id, text, list_filter(list_transform(regexp_split_to_array(text, '[。！？!?；;\n]+'), lambda x: trim(x)), lambda x: x <> '') AS parts,
+      list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines,
+      (length(text) - length(replace(text, 'eau', ''))) // 3 + (length(text) - length(replace(text, 'keit', ''))) // 4 AS cliches,
+      (length(text) - length(replace(text, 'thon', ''))) // 4 AS hedges FROM documents),
+    v AS (SELECT doc_id, cliches, hedges / greatest(length(text) / 100, 1.0::DOUBLE) AS hedge,
+      coalesce(list_sum(list_transform(parts, lambda x: length(x))) / len(parts), 0.0)::DOUBLE AS average,
+      len(list_filter(lines, lambda x: regexp_matches(x, '^\\s*([-*•]|[0-9]+[.)、])\\s*') OR length(x) <= 8)) / len(lines) AS bullet FROM s)
+    SELECT doc_id, round_even(least(100.0, least(cliches * 16, 76) + least(hedge * 8, 16.0) + least(bullet * 12, 12.0)
+      + CASE WHEN average > 42 THEN least((average - 42) * 0.6::DOUBLE, 12.0) ELSE 0.0 END), 2) AS ai_score FROM v""")
+def tone_score(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", text.tone(F.col("text"), ["eau", "keit"], ["thon"]).alias("t"))
+    return rows.select("doc_id", F.col("t.ai_score").alias("ai_score"))
+
+
+@query("""SELECT conv_id, turn, n > 0 AND n >= low AND n <= high AS ok, n AS n_chars FROM (
+    SELECT conv_id, turn, length(text) AS n, CASE role WHEN 'assistant' THEN 120 WHEN 'user' THEN 50 ELSE 50 END AS low,
+    CASE role WHEN 'assistant' THEN 450 WHEN 'user' THEN 140 ELSE 380 END AS high FROM conversations)""")
+def length_check(spark, sf_dir):
+    platform = F.when(F.col("role") == "assistant", "xiaohongshu").when(F.col("role") == "user", "weibo").otherwise("unheard of")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", text.validate_length(F.col("text"), platform).alias("v"))
+    return rows.select("conv_id", "turn", "v.ok", F.col("v.length").alias("n_chars"))
+
+
+@query()
+def smart_truncate(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", text.truncate(F.col("text"), 140).alias("text"))
+    return rows.withColumn("n_chars", F.length("text"))
+
+
+@query()
+def plain_words(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", rewrite.humanise(F.col("text")).alias("text"))
+
+
+@query(f"""WITH b AS (SELECT ordinal, {_PICK} AS bucket, row_number() OVER (ORDER BY heat_score DESC, length(content) DESC, ordinal) AS place
+      FROM (SELECT *, {CATEGORY} AS category FROM ({ITEMS}))),
+    r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY place) AS rn, count(*) FILTER (WHERE bucket = 'tech') OVER () AS n_tech FROM b),
+    p AS (SELECT *, CASE WHEN bucket = 'tech' AND rn <= 8 THEN 1 WHEN bucket = 'neutral' AND rn <= greatest(0, 8 - n_tech) THEN 2
+      WHEN bucket = 'general' AND rn <= 6 THEN 3 WHEN bucket = 'neutral' THEN 4 WHEN bucket = 'tech' THEN 5 ELSE 6 END AS phase FROM r)
+    SELECT ordinal, bucket, row_number() OVER (ORDER BY phase, rn, place) AS pick_rank FROM p ORDER BY phase, rn, place LIMIT 18""")
+def quota_pick(spark, sf_dir):
+    rows = classified(spark, sf_dir).withColumn("bucket", scoring.pick_audience(F.col("category"), F.col("source")))
+    few = relations.first_per(rows.withColumn("n", F.length("content")), ["bucket"], [F.desc("heat_score"), F.desc("n"), "ordinal"], 18)
+    place = few.withColumn("place", F.row_number().over(Window.orderBy(F.desc("heat_score"), F.desc("n"), "ordinal")))  # 18 rows a bucket
+    return relations.quota_pick(place.select("ordinal", "bucket", "place"), "bucket", "place", 18).select("ordinal", "bucket", "pick_rank")
+
+
+@query(f"SELECT ordinal, heat_score FROM ({ITEMS}) ORDER BY heat_score DESC, length(content) + length(snippet) DESC, ordinal LIMIT 20")
+def top_candidates(spark, sf_dir):
+    return items(spark, sf_dir).orderBy(F.desc("heat_score"), F.desc(F.length("content") + F.length("snippet")), "ordinal").select("ordinal", "heat_score").limit(20)
+
+
+@query(f"SELECT source, ordinal FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ordinal) AS rn FROM ({ITEMS})) WHERE rn <= 6")
+def cap_per_source(spark, sf_dir):
+    return relations.first_per(items(spark, sf_dir).select("source", "ordinal"), ["source"], ["ordinal"], 6)
+
+
+@query("SELECT c_custkey, event_id, event_type FROM customer LEFT JOIN (SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id) ON c_custkey = user_id")
+def reply_last_wins(spark, sf_dir):
+    replies = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("c_custkey")).agg(F.max("event_id").alias("event_id"), F.max_by("event_type", "event_id").alias("event_type"))
+    return table(spark, sf_dir, "customer").select("c_custkey").join(replies, "c_custkey", "left")
+
+
+@query("SELECT c_custkey, event_id, event_type FROM customer LEFT JOIN (SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type FROM events GROUP BY user_id) ON c_custkey = user_id")
+def reply_first_wins(spark, sf_dir):
+    replies = table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey"), "event_id", "event_type", F.col("event_id").alias("at"))
+    return relations.with_replies(table(spark, sf_dir, "customer").select("c_custkey"), replies, "c_custkey", ["at"], last=False)
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def unanswered(spark, sf_dir):
+    return relations.unanswered(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+
+
+@query("""SELECT 'https://s.example/' || (doc_id % 400) AS link, min(doc_id) AS first_id FROM documents WHERE doc_id % 400 NOT IN
+    (SELECT o_orderkey FROM orders WHERE epoch(o_orderdate) * 1000 >= 852076800000 - 8760 * 3600000::BIGINT) GROUP BY 1""")
+def table_append(spark, sf_dir):
+    """Links the table does not hold, or holds only from over a year before the stated day."""
+    link = lambda c: F.concat(F.lit("https://s.example/"), c.cast("string"))
+    drafts_ = table(spark, sf_dir, "documents").select(link(F.col("doc_id") % 400).alias("link"), F.col("doc_id"))
+    held = table(spark, sf_dir, "orders").select(link(F.col("o_orderkey")).alias("link"), (F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) * 1000).alias("created"))
+    fresh = drafts_.join(relations.blocked_links(held, 852076800000, 24.0 * 365).select("link").distinct(), "link", "left_anti")
+    return fresh.groupBy("link").agg(F.min("doc_id").alias("first_id"))
+
+
+_REASON = "CASE event_type WHEN 'error' THEN '首次失败: X 内容过短 (' || (user_id % 7) || ' 字); 修复后失败: x' WHEN 'view' THEN 'X质量分 ' || (user_id % 3) WHEN 'click' THEN 'xhs_failed: 小红书质量分 ' || (user_id % 2) WHEN 'signup' THEN 'xhs_failed: 标题' ELSE '' END"
+
+
+def _rejects(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("ordinal"), F.expr(_REASON).alias("reason"))
+
+
+@query(f"""WITH r AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 'X 内容过短 (' || (user_id % 7) || ' 字)' ELSE {_REASON} END AS k FROM events)
+    SELECT k AS reason_key, count(*) AS n_rejects, min(event_id) AS first_seen FROM r WHERE k <> '' GROUP BY 1 ORDER BY 2 DESC, 3 LIMIT 10""")
+def top_reject_reasons(spark, sf_dir):
+    return relations.top_reasons(_rejects(spark, sf_dir))
+
+
+@query("""SELECT CASE event_type WHEN 'error' THEN 'x_quality_fail' WHEN 'view' THEN 'x_quality_score_low' WHEN 'click' THEN 'xhs_quality_score_low'
+    WHEN 'signup' THEN 'xhs_quality_fail' ELSE 'unknown' END AS reject_kind, count(*) AS n_rejects FROM events GROUP BY 1""")
+def reject_kinds(spark, sf_dir):
+    return _rejects(spark, sf_dir).groupBy(scoring.reject_kind(F.col("reason")).alias("reject_kind")).agg(F.count("*").alias("n_rejects"))
+
+
+@query("""SELECT lang, n_rows, n_hits, is_total, n_hits / n_rows AS hit_share, CASE WHEN n_hits / n_rows >= 0.7 THEN 'OK' WHEN n_hits / n_rows >= 0.5 THEN 'WARN' ELSE 'LOW' END AS flag
+    FROM (SELECT lang, count(*) AS n_rows, count(*) FILTER (WHERE contains(lower(text), 'thon')) AS n_hits, grouping(lang) AS is_total FROM documents GROUP BY ROLLUP (lang))""")
+def subject_share(spark, sf_dir):
+    return relations.shares(table(spark, sf_dir, "documents").select("lang", "text"), "lang", text.any_hit(F.col("text"), ["thon"]))
+
+
+@query("""SELECT count(*) AS n_keys, sum(n)::BIGINT AS n_rows, CASE WHEN max(n) / sum(n) > 0.4 THEN count(*) / sum(n) * 0.7::DOUBLE ELSE count(*) / sum(n) END AS diversity
+    FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)""")
+def source_diversity(spark, sf_dir):
+    return relations.diversity(table(spark, sf_dir, "documents"), "source")
+
+
+@query("""SELECT count(*) AS total, count(*) FILTER (WHERE event_type = 'purchase') AS approved, count(*) FILTER (WHERE event_type = 'error') AS rejected,
+    count(*) FILTER (WHERE event_type = 'purchase') / count(*) AS approval_rate, count(*) >= 50 AS retrain FROM events""")
+def feedback_stats(spark, sf_dir):
+    kind = F.when(F.col("event_type") == "purchase", "approved").when(F.col("event_type") == "error", "rejected").otherwise("other")
+    return state.feedback_stats(table(spark, sf_dir, "events").select(kind.alias("feedback")))
+
+
+@query("""SELECT CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' - INTERVAL 700 DAY THEN 'rejected' ELSE 'pending' END ELSE o_orderstatus END AS status,
+    count(*) AS n_rows FROM orders GROUP BY 1""")
+def queue_ageing(spark, sf_dir):
+    queue = table(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") == "P", "pending").otherwise(F.col("o_orderstatus")).alias("status"), "o_orderdate")
+    aged = state.age_out(queue, F.col("o_orderdate"), F.lit("1997-01-01").cast("timestamp_ntz"), 700)
+    return aged.groupBy("status").agg(F.count("*").alias("n_rows"))
+
+
+@query("""WITH d AS (SELECT user_id, arg_max(event_type, event_id) AS last FROM events WHERE event_type IN ('purchase', 'error') GROUP BY user_id)
+    SELECT coalesce(last, 'pending') AS status, count(*) AS n_rows FROM customer LEFT JOIN d ON c_custkey = user_id GROUP BY 1""")
+def review_queue(spark, sf_dir):
+    queue = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.lit("pending").alias("status"))
+    decisions = table(spark, sf_dir, "events").filter("event_type in ('purchase', 'error')").select(F.col("user_id").alias("id"), F.col("event_type").alias("status"), F.col("event_id").alias("seq"))
+    return state.decide(queue, decisions, "id").groupBy("status").agg(F.count("*").alias("n_rows"))
+
+
+@query("SELECT event_id, event_type FROM events ORDER BY event_id DESC LIMIT 50")
+def editorial_memory(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return state.recent(rows.filter("event_id % 2 = 0"), rows.filter("event_id % 2 = 1"), "event_id", 50)
+
+
+@query("SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_fields(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"))
+
+
+@query("""SELECT chunk, count(*) AS n_rows, min(o_orderkey) AS first_key FROM (SELECT o_orderkey, (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 40 AS chunk, o_orderstatus FROM orders) GROUP BY o_orderstatus, chunk""")
+def chunks(spark, sf_dir):
+    """Batches of forty within a status."""
+    rows = table(spark, sf_dir, "orders").withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey")) - 1) / 40))
+    return rows.groupBy("o_orderstatus", "chunk").agg(F.count("*").alias("n_rows"), F.min("o_orderkey").alias("first_key")).drop("o_orderstatus")
+
+
+@query("""SELECT collector, collector_rank, count(*) AS n_items, sum(length(body))::BIGINT AS n_chars FROM (
+    SELECT 'documents' AS collector, 0 AS collector_rank, text AS body FROM documents UNION ALL SELECT 'pages', 1, html FROM pages UNION ALL SELECT 'benchmark', 2, text FROM benchmark) GROUP BY 1, 2""")
+def union_sources(spark, sf_dir):
+    parts = [("documents", "text"), ("pages", "html"), ("benchmark", "text")]
+    rows = relations.union_sources([(n, table(spark, sf_dir, n).select(F.col(c).alias("body"))) for n, c in parts])
+    return rows.groupBy("collector", "collector_rank").agg(F.count("*").alias("n_items"), F.sum(F.length("body")).alias("n_chars"))
+
+
+@query(f"""SELECT ordinal, list_filter(CASE lang WHEN 'en' THEN ['thon', 'ingen', 'hatred'] WHEN 'fr' THEN ['eau', 'leux'] WHEN 'de' THEN ['keit'] END, lambda t: contains(lower(title || ' ' || snippet), t)) AS matched_terms
+    FROM ({ITEMS}) WHERE len(matched_terms) > 0""")
+def watchlist(spark, sf_dir):
+    from feedloom.sources.connectors import watched
+
+    topics = spark.createDataFrame([("en", ["thon", "ingen", "hatred"]), ("fr", ["eau", "leux"]), ("de", ["keit"])], "topic string, terms array<string>")
+    return watched(items(spark, sf_dir).withColumnRenamed("lang", "topic"), topics).select("ordinal", "matched_terms")
+
+
+@query(f"""SELECT hot_list AS list_id, ordinal FROM (SELECT *, row_number() OVER (PARTITION BY hot_list ORDER BY ordinal) AS rn FROM ({ITEMS})
+    WHERE hot_list IS NOT NULL AND (hot_list <> 'weibo' OR contains(lower(content), 'thon'))) WHERE rn <= 6""")
+def hot_list_caps(spark, sf_dir):
+    from feedloom.sources.connectors import hot_lists
+
+    rows = items(spark, sf_dir).filter("hot_list is not null").select(F.col("hot_list").alias("list_id"), "ordinal", "content")
+    return hot_lists(rows, text.any_hit(F.col("content"), ["thon"]), ["weibo"], 18).select("list_id", "ordinal")
+
+
+@query("""WITH h AS (SELECT doc_id, [CASE WHEN contains(lower(text), 'thon') THEN 1 ELSE 0 END + CASE WHEN contains(lower(text), 'er') THEN 1 ELSE 0 END, CASE WHEN contains(lower(text), 'eau') THEN 1 ELSE 0 END + CASE WHEN contains(lower(text), 'le') THEN 1 ELSE 0 END] AS h FROM documents)
+    SELECT doc_id, CASE WHEN greatest(h[1] * 1.0, h[2] * 1.1) <= 0 THEN 'news_commentary' WHEN h[1] * 1.0 >= h[2] * 1.1 THEN 'workflow' ELSE 'review' END AS pillar FROM h""")
+def growth_pillar(spark, sf_dir):
+    rules = {"workflow": ["thon", "er"], "review": ["eau", "le"]}
+    return table(spark, sf_dir, "documents").select("doc_id", scoring.pillar(F.col("text"), rules, {"workflow": 1.0, "review": 1.1}).alias("pillar"))
+
+
+@query("""WITH h AS (SELECT doc_id, CASE WHEN contains(lower(text), 'thon') THEN 1 ELSE 0 END + CASE WHEN contains(lower(text), 'eau') THEN 1 ELSE 0 END AS n, CASE WHEN contains(lower(text), 'keit') THEN 1 ELSE 0 END AS j FROM documents)
+    SELECT doc_id, (20 + n / 5 * 80)::DOUBLE AS search, (20 + n / 4 * 80)::DOUBLE AS save, greatest(0.0, 25 + n / 4 * 75 - 12 * j)::DOUBLE AS beginner, round(15 + n / 3 * 85, 2)::DOUBLE AS series FROM h""")
+def growth_scores(spark, sf_dir):
+    words = ["thon", "eau"]
+    terms = {"search": words, "save": words, "beginner": words, "series": words, "jargon": ["keit"]}
+    return table(spark, sf_dir, "documents").select("doc_id", scoring.dimensions(F.col("text"), F.lit("none"), terms).alias("d")).select("doc_id", "d.*")
+
+
+@query()
+def draft_checks(spark, sf_dir):
+    """Each turn as a draft: the first failure of the short gate, its quality and hook."""
+    c = F.col("text")
+    rows = table(spark, sf_dir, "conversations")
+    made = rows.select("conv_id", "turn", drafts.check_short(c, F.substring(c, 1, 20), F.col("role"), F.lit("")).alias("reason"), drafts.short_quality(c, F.substring(c, 1, 20), F.col("role"), F.lit("")).alias("q"), drafts.hook_type(c, F.lit("")).alias("hook"))
+    return made.select("conv_id", "turn", "reason", F.col("q.score").alias("score"), F.col("q.notes").alias("notes"), "hook")
+
+
+@query("""SELECT role, count(*) AS n_drafts, count(*) FILTER (WHERE length(text) > 280) AS over_280, count(*) FILTER (WHERE length(text) > 450) AS over_450,
+    sum(length(text))::BIGINT AS n_chars FROM conversations GROUP BY role""")
+def draft_summary(spark, sf_dir):
+    n = F.length("text")
+    return table(spark, sf_dir, "conversations").groupBy("role").agg(F.count("*").alias("n_drafts"), F.count_if(n > 280).alias("over_280"), F.count_if(n > 450).alias("over_450"), F.sum(n).alias("n_chars"))
+
+
+@query("""SELECT c_mktsegment AS pillar, 'p' || (c_nationkey % 2) AS title_pattern, count(*) AS n_drafts, round_even(avg(c_acctbal), 2) AS avg_score FROM customer GROUP BY 1, 2""")
+def growth_report(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("pillar"), F.concat(F.lit("p"), (F.col("c_nationkey") % 2).cast("string")).alias("title_pattern"), F.col("c_acctbal").alias("score"))
+    return sinks.growth_report(rows)
+
+
+@query("""SELECT platform, score, count(*) AS n_items FROM (SELECT CASE WHEN q IS NOT NULL THEN CASE WHEN q * 60 >= 60 THEN 'X+小红书' ELSE '仅X' END WHEN doc_id % 100 <= 60 THEN 'X+小红书' ELSE '仅X' END AS platform,
+    CASE WHEN q IS NOT NULL THEN q * 60 WHEN doc_id % 100 <= 60 THEN 60 ELSE 40 END AS score FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id) USING (doc_id)) GROUP BY 1, 2""")
+def platform_routes(spark, sf_dir):
+    replies = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("q"))
+    rows = table(spark, sf_dir, "documents").select("doc_id").join(replies, "doc_id", "left")
+    route = scoring.route(F.col("doc_id") % 100, F.when(F.col("q").isNotNull(), "?"), F.col("q") * 60)
+    return rows.select(route.alias("r")).groupBy("r.platform", "r.score").agg(F.count("*").alias("n_items"))
 
 
-def agg_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items per source."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").agg(F.count("*").alias("n_items"))
+@query("SELECT event_id, CASE WHEN v > 10000000000 THEN floor(v / 1000) ELSE floor(v) END::BIGINT AS seconds FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 1700000000 + event_id ELSE 1700000000123 + event_id END AS v FROM events)")
+def epoch_units(spark, sf_dir):
+    value = F.when(F.col("event_id") % 2 == 0, F.lit(1700000000) + F.col("event_id")).otherwise(F.lit(1700000000123) + F.col("event_id"))
+    return table(spark, sf_dir, "events").select("event_id", text.epoch_seconds(value.cast("string")).alias("seconds"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"agg_source_counts": agg_source_counts}
-SQL: dict[str, str] = {"agg_source_counts": "SELECT source, count(*) AS n_items FROM documents GROUP BY source"}
+@query("SELECT event_id, least(100.0, value * 0.6::DOUBLE + (event_id % 50) * 1.2::DOUBLE) AS signal FROM events")
+def community_signal(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", scoring.signal_score(F.col("value"), F.col("event_id") % 50).alias("signal"))

@@ -1,0 +1,183 @@
+"""Sources: files and command output as rows of one schema.
+
+A network fetch is a boundary: what it returned lies in files, and the
+connectors read those.  ``register`` adds further ones.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedloom.functions.scoring import signal_score
+from feedloom.functions.text import squeeze, star_count, strip_html
+from feedloom.operators.relations import first_per
+
+MATERIAL = "url string, title string, snippet string, content string, source string, publish_time string, ordinal long"
+COLUMNS = [c.split()[0] for c in MATERIAL.split(", ")]
+
+Reader = Callable[[SparkSession, dict], DataFrame]
+_READERS: dict[str, Reader] = {}
+
+
+def register(name: str, reader: Reader) -> None:
+    _READERS[name] = reader
+
+
+def read(spark: SparkSession, name: str, options: dict) -> DataFrame:
+    """The source's rows; an empty relation where it cannot be read.
+
+    Spark reads late, so the rows are counted here: only an action shows that a
+    source fails.
+    """
+    try:
+        rows = _READERS[name](spark, options)
+        rows.limit(1).count()
+        return rows
+    except Exception:
+        return spark.createDataFrame([], MATERIAL)
+
+
+def _first(*cols: Column) -> Column:
+    return F.coalesce(*[F.nullif(F.trim(c.cast("string")), F.lit("")) for c in cols])
+
+
+def _field(item: str, *names: str) -> Column:
+    return _first(*[F.get_json_object(F.col(item), f"$.{n}") for n in names])
+
+
+def json_items(raw: DataFrame, text: str = "raw") -> DataFrame:
+    """One row per object of a JSON document: an array, or the array under items, results, data or topics."""
+    body = F.trim(F.col(text))
+    listed = F.when(body.startswith("["), body)
+    for key in ("items", "results", "data", "topics"):
+        listed = F.coalesce(listed, F.get_json_object(body, f"$.{key}"))
+    items = F.from_json(listed, "array<string>", {"mode": "PERMISSIVE"})
+    return raw.select(F.posexplode(items).alias("ordinal", "item")).filter(F.trim("item").startswith("{")).withColumn("ordinal", F.col("ordinal").cast("long"))
+
+
+def feed_items(items: DataFrame, source: str, per_source: int | None = None) -> DataFrame:
+    """Items of a JSON feed under their usual names; rows without a url go."""
+    rows = items.select(
+        _field("item", "permalink", "url", "link").alias("url"),
+        F.coalesce(_field("item", "title", "name"), F.lit("")).alias("title"),
+        F.substring(F.coalesce(_field("item", "snippet", "description", "summary"), F.lit("")), 1, 500).alias("snippet"),
+        F.coalesce(_field("item", "content", "body"), F.lit("")).alias("content"),
+        F.lit(source).alias("source"),
+        _field("item", "publish_time", "published_at", "date").alias("publish_time"),
+        "ordinal",
+    ).filter(F.col("url").isNotNull())
+    return rows.orderBy("ordinal").limit(per_source) if per_source else rows
+
+
+def social_items(items: DataFrame) -> DataFrame:
+    """Items of a social search: platform and engagement under any of their aliases."""
+    engagement = F.coalesce(_field("item", "engagement", "score", "points", "likes", "upvotes").try_cast("double"), F.lit(0.0))
+    return items.select(
+        _field("item", "url", "link", "permalink").alias("url"),
+        F.coalesce(_field("item", "title", "name"), F.concat(F.lit("item-"), F.col("ordinal").cast("string"))).alias("title"),
+        F.lower(F.coalesce(_field("item", "platform", "source", "network"), F.lit(""))).alias("platform"),
+        engagement.alias("engagement"),
+        F.substring(F.coalesce(_field("item", "snippet", "description", "summary"), F.lit("")), 1, 500).alias("snippet"),
+        "ordinal",
+    ).filter(F.col("url").isNotNull())
+
+
+def per_platform(items: DataFrame, cap: int) -> DataFrame:
+    """At most ``cap`` over the number of platforms, one at least, of each platform."""
+    n = items.agg(F.greatest(F.lit(1), F.floor(F.lit(cap) / F.greatest(F.lit(1), F.count_distinct("platform")))).alias("_most"))
+    return first_per(items, ["platform"], ["ordinal"], cap).crossJoin(F.broadcast(n)).withColumn("_rn", F.row_number().over(_by("platform"))).filter("_rn <= _most").drop("_rn", "_most")
+
+
+def _by(key: str):
+    from pyspark.sql.window import Window
+
+    return Window.partitionBy(key).orderBy("ordinal")
+
+
+def rss(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """RSS 2.0 files: items with a title and a link, markup stripped."""
+    schema = "title string, link string, description string, `content:encoded` string, pubDate string, `dc:date` string"
+    rows = spark.read.format("xml").option("rowTag", "item").schema(schema).load(path).withColumn("ordinal", F.monotonically_increasing_id())
+    content = squeeze(strip_html(F.col("`content:encoded`"), ""))
+    snippet = F.coalesce(F.nullif(squeeze(strip_html(F.col("description"), "")), F.lit("")), F.substring(content, 1, 300))
+    out = rows.select(
+        F.trim("link").alias("url"),
+        F.trim("title").alias("title"),
+        F.substring(snippet, 1, 500).alias("snippet"),
+        F.substring(content, 1, 2000).alias("content"),
+        F.lit(source).alias("source"),
+        _first(F.col("pubDate"), F.col("`dc:date`")).alias("publish_time"),
+        "ordinal",
+    )
+    return out.filter("url <> '' and title <> ''")
+
+
+def link_lines(raw: DataFrame, source: str, text: str = "raw") -> DataFrame:
+    """``title<tab>url`` or ``title url`` lines; comments and other schemes go."""
+    lines = raw.select(F.posexplode(F.split(F.trim(F.col(text)), "\r?\n")).alias("ordinal", "line")).select(F.col("ordinal").cast("long"), F.trim("line").alias("line"))
+    parts = F.when(F.contains("line", F.lit("\t")), F.split("line", "\t")).otherwise(F.split("line", " ", 2))
+    rows = lines.filter("line <> '' and not startswith(line, '#')").withColumn("p", parts).filter(F.size("p") >= 2)
+    rows = rows.select(F.trim(F.col("p")[1]).alias("url"), F.trim(F.col("p")[0]).alias("title"), F.lit("").alias("snippet"), F.lit("").alias("content"), F.lit(source).alias("source"), F.lit(None).cast("string").alias("publish_time"), "ordinal")
+    return rows.filter(F.col("url").rlike("^https?://"))
+
+
+def front_matter(raw: DataFrame, source: str, text: str = "raw") -> DataFrame:
+    """Markdown with a header of ``key: value`` lines; without one the text is a row of its own.
+
+    The url falls back to the header's source, the title to the first heading.
+    """
+    head = F.regexp_extract(text, r"(?s)^---\s*\n(.*?)\n---\s*\n?(.*)$", 1)
+    body = F.regexp_extract(text, r"(?s)^---\s*\n(.*?)\n---\s*\n?(.*)$", 2)
+    value = lambda k: F.nullif(F.regexp_extract(head, rf"""(?im)^\s*{k}\s*:\s*["']?(.*?)["']?\s*$""", 1), F.lit(""))
+    has = F.col(text).rlike(r"(?s)^---\s*\n.*?\n---")
+    url = F.when(has, F.coalesce(value("url"), value("source"))).otherwise(F.regexp_extract(text, r"https?://[^\s)\]]+", 0))
+    heading = F.nullif(F.regexp_extract(body, r"(?m)^\s*# (.*)$", 1), F.lit(""))
+    title = F.when(has, F.coalesce(value("title"), heading, F.lit(""))).otherwise(F.trim(F.regexp_replace(F.substring_index(F.col(text), "\n", 1), "^[# ]+", "")))
+    part = lambda n: F.trim(F.substring(F.when(has, body).otherwise(F.col(text)), 1, n))
+    rows = raw.withColumn("ordinal", F.monotonically_increasing_id()).select(
+        F.coalesce(url, F.lit("")).alias("url"),
+        F.substring(title, 1, 200).alias("title"),
+        part(500).alias("snippet"),
+        part(2000).alias("content"),
+        F.lit(source).alias("source"),
+        F.when(has, F.coalesce(value("date"), value("publish_time"))).alias("publish_time"),
+        "ordinal",
+        has.alias("_has"),
+    )
+    return rows.filter("not _has or url <> ''").drop("_has")
+
+
+def hot_lists(items: DataFrame, subject: Column, general: list[str], cap: int) -> DataFrame:
+    """Entries of hot lists (``list_id, ordinal, ...``): general lists need the subject; each list gives ``max(2, cap/3)``."""
+    rows = items.filter(~F.col("list_id").isin(general) | subject)
+    return first_per(rows, ["list_id"], ["ordinal"], max(2, cap // 3))
+
+
+def watched(items: DataFrame, topics: DataFrame, most: int = 8) -> DataFrame:
+    """Items joined to their topic's terms; those that match none go.
+
+    ``topics``: ``topic, terms``; ``items``: ``topic, title, snippet, ...``.
+    """
+    text = F.lower(F.concat_ws(" ", "title", "snippet"))
+    joined = items.join(topics, "topic")
+    return joined.withColumn("matched_terms", F.slice(F.filter("terms", lambda t: F.contains(text, F.lower(t))), 1, most)).filter(F.size("matched_terms") > 0).drop("terms")
+
+
+def trending(html: DataFrame, text: str = "html") -> DataFrame:
+    """Repositories and stars of a listing page: ``repo, stars``."""
+    rows = html.select(F.explode(F.regexp_extract_all(text, F.lit(r"(?s)<article\b.*?</article>"), F.lit(0))).alias("a"))
+    return rows.select(F.regexp_extract("a", r"""href="/([\w.-]+/[\w.-]+)["/]""", 1).alias("repo"), star_count(F.regexp_extract("a", r"([\d.,]+\s*[kKmM]?)\s*(?:stars|</a>)", 1)).alias("stars")).filter("repo <> ''")
+
+
+def community(items: DataFrame) -> DataFrame:
+    """Adds ``signal``: 0.6 a point and 1.2 a comment, 100 at most."""
+    return items.withColumn("signal", signal_score(F.col("points"), F.col("comments")))
+
+
+register("feed", lambda spark, o: feed_items(json_items(spark.read.text(o["path"], wholetext=True).withColumnRenamed("value", "raw")), o["source"], o.get("cap")).select(*COLUMNS))
+register("rss", lambda spark, o: rss(spark, o["path"], o["source"]).select(*COLUMNS))
+register("links", lambda spark, o: link_lines(spark.read.text(o["path"], wholetext=True).withColumnRenamed("value", "raw"), o["source"]).select(*COLUMNS))
+register("markdown", lambda spark, o: front_matter(spark.read.text(o["path"], wholetext=True).withColumnRenamed("value", "raw"), o["source"]).select(*COLUMNS))
