@@ -149,3 +149,100 @@ def hook_type(text: Column, angle: Column) -> Column:
         .when(angle == "cost_change", "成本变化")
         .otherwise("谁受影响")
     )
+
+
+# Where an item goes to the short platform alone.
+COMPANY_ONLY = r"(?i)\b(Snowflake|Databricks|Salesforce|Kubernetes|K8s)\b"
+INSIDER_ONLY = "(?i)融资|收购|合并|IPO|人事变动|CEO|CTO|离职|跳槽"
+PROXY_BOUNDARY = "(?i)xray|v2ray|xtls|vless|vmess|reality|sing-box|clash|mihomo|hysteria|trojan|shadowsocks|vpn|proxy|翻墙|科学上网|GFW|审查|封锁"
+FRIENDLY = [
+    "(?i)工具|产品|硬件|眼镜|手机|耳机|视频|图片|图像|音乐|生成|效率|办公|创作者|打工人|隐私|安全|泄露|后门|翻车|涨价|浏览器|搜索|助手|学生|学习|教育|普通人|职场|截图|PDF",
+    "(?i)怎么用|如何用|避坑|谁受影响|影响谁|适合谁|价格|权限|风险|教程|案例|工作流|提效",
+    r"(?i)\b(ChatGPT|Claude|Gemini|Sora|Suno|Cursor|Notion|LLM|Agent|豆包|元宝|可灵|剪映)\b",
+    r"\b(Kimi|DeepSeek|Qwen|文心一言|通义|豆包|GPT|Grok|Llama|Mistral)\b",
+]
+# Writing persona by part of the source, in order.
+PERSONAS = {
+    "ai-models": ("技术产品编辑", "普通 AI 用户视角"), "ai-news": ("技术产品编辑", "普通 AI 用户视角"),
+    "paper": ("技术解释型编辑", "仅在能转成使用价值时写小红书内容"), "official_ai": ("技术产品编辑", "普通 AI 用户视角"),
+    "radar-hot": ("行业观察编辑", "普通 AI 用户视角"), "aihot-hot": ("行业观察编辑", "普通 AI 用户视角"),
+    "radar-daily": ("行业观察编辑", "普通 AI 用户视角"), "aihot": ("产品编辑", "工具/效率视角"), "qbitai": ("产品编辑", "工具/效率视角"),
+    "sspai": ("产品编辑", "工具/效率视角"), "github-trending": ("开发者工具编辑", "仅在普通人能用时写小红书内容"), "tool": ("开发者工具编辑", "工具/效率视角"),
+}
+DEFAULT_PERSONA = ("AI 内容编辑", "普通 AI 用户视角")
+
+
+def one_platform_only(material: Column, source: Column) -> Column:
+    """Company-internal, insider or network-tool news without any everyday scene."""
+    friendly = F.lit(False)
+    for p in FRIENDLY:
+        friendly = friendly | material.rlike("(?U)" + p)
+    proxy = (F.contains(source, F.lit("github")) | F.contains(source, F.lit("watchlist"))) & material.rlike(PROXY_BOUNDARY)
+    return F.coalesce((material.rlike("(?U)" + COMPANY_ONLY) | material.rlike(INSIDER_ONLY) | proxy) & ~friendly, F.lit(False))
+
+
+def persona(source: Column) -> Column:
+    """Struct ``short, long``: the first persona whose key is part of the source."""
+    pair = lambda p: F.struct(F.lit(p[0]).alias("short"), F.lit(p[1]).alias("long"))
+    out = F.when(F.lit(False), pair(DEFAULT_PERSONA))
+    for k, p in PERSONAS.items():
+        out = out.when(F.contains(source, F.lit(k)), pair(p))
+    return out.otherwise(pair(DEFAULT_PERSONA))
+
+
+def check_image(prompt: Column, forbidden: list[str], required: list[str], least: int = 60, most: int = 220) -> Column:
+    """Struct ``ok, reason``: only unusable prompts fail; missing parts are advice."""
+    p = F.trim(F.coalesce(prompt, F.lit("")))
+    n = F.length(p)
+    reason = F.when(n < 30, F.concat(F.lit("提示词过短 ("), n.cast("string"), F.lit(" 字)"))).when(n > most, F.concat(F.lit("提示词过长 ("), n.cast("string"), F.lit(" 字)")))
+    bad = (n < 30) | (n > most)
+    for term in forbidden:
+        hit = F.contains(F.lower(p), F.lit(term.lower()))
+        reason, bad = reason.when(hit, f"命中禁用元素: {term}"), bad | hit
+    missing = F.slice(F.array_compact(F.array(*[F.when(~F.contains(p, F.lit(x)), F.lit(x)) for x in required])), 1, 3)
+    reason = reason.when(n < least, F.concat(F.lit("提示词偏短，建议补充构图/配色/字体/氛围 ("), n.cast("string"), F.lit(" 字)")))
+    reason = reason.when(F.size(missing) > 0, F.concat(F.lit("建议补充: "), F.array_join(missing, ",")))
+    return F.struct((~bad).alias("ok"), reason.otherwise("ok").alias("reason"))
+
+
+def image_quality(prompt: Column, forbidden: list[str], required: list[str], aspects: list[str], styles: list[str], least: int = 60, most: int = 220) -> Column:
+    """Points for a usable prompt, 10 at most: size, aspect, three parts of the picture, style."""
+    p = F.trim(F.coalesce(prompt, F.lit("")))
+    n = F.length(p)
+    score = F.when(n.between(30, most), 2).otherwise(0) + F.when(n >= least, 2).otherwise(0) + F.when(_contains_any(p, aspects), 2).otherwise(0)
+    score = score + F.least(sum((F.contains(p, F.lit(x)).cast("int") for x in required), F.lit(0)), F.lit(3)) + F.when(_contains_any(p, [*styles, "封面", "信息图", "卡片", "插画", "海报"]), 1).otherwise(0)
+    return F.when(check_image(prompt, forbidden, required, least, most)["ok"], F.least(score, F.lit(10)).cast("double")).otherwise(0.0)
+
+
+def discovery(extra: Column) -> Column:
+    """Why an item was found: the parts that its JSON extras hold, joined."""
+    get = lambda k: F.nullif(F.get_json_object(extra, f"$.{k}"), F.lit(""))
+    listed = lambda k, n: F.array_join(F.slice(F.from_json(get(k), "array<string>"), 1, n), ", ")
+    said = lambda text, v: F.when(v.isNotNull() & ~v.isin("", "0", "[]"), F.concat(F.lit(text), v))
+    votes = F.when(get("points").isNotNull() | get("comments").isNotNull(), F.concat(F.lit("HN points/comments: "), F.coalesce(get("points"), F.lit("0")), F.lit("/"), F.coalesce(get("comments"), F.lit("0"))))
+    sources = F.when(get("source_count") != "0", F.concat(get("source_count"), F.lit(" 个信源")))
+    return F.concat_ws(" | ", said("命中词: ", listed("matched_terms", 8)), said("query: ", get("query")), sources, said("来源: ", listed("source_names", 4)), said("GitHub stars: ", get("stars")), said("repo: ", get("repo_path")), votes, said("source_signal: ", get("source_signal_score")))
+
+
+# Names under which a generated payload holds its parts.
+ALIASES = {
+    "other_title": ["other_title", "xiaohongshu_title", "xhs_title", "redbook_title", "小红书标题", "通用标题"],
+    "other_content": ["other_content", "xiaohongshu_content", "xhs_content", "redbook_content", "小红书内容", "通用内容"],
+    "other_tags": ["other_tags", "xiaohongshu_tags", "xhs_tags", "redbook_tags", "小红书标签", "通用标签"],
+    "image_prompt": ["image_prompt", "other_image_prompt", "cover_image_prompt", "配图提示词", "通用配图提示词"],
+}
+
+
+def payload(data: Column) -> Column:
+    """Struct of a JSON payload's parts, each under the first of its names that is not empty."""
+    get = lambda k: F.nullif(F.get_json_object(data, f"$['{k}']"), F.lit(""))
+    return F.struct(*[F.coalesce(*[get(a) for a in names]).alias(k) for k, names in ALIASES.items()])
+
+
+def reply_array(text: Column) -> Column:
+    """Objects, as JSON text, of a model's reply: a fenced block or the outermost brackets, else each flat object in turn."""
+    fenced = F.nullif(F.regexp_extract(text, r"(?s)```json\s*(.*?)```", 1), F.lit(""))
+    outer = F.nullif(F.regexp_extract(text, r"(?s)(\[.*\])", 1), F.lit(""))
+    parsed = lambda c: F.when(F.try_parse_json(c).isNotNull() & F.trim(c).startswith("["), F.from_json(c, "array<string>"))
+    found = F.filter(F.regexp_extract_all(text, F.lit(r"\{[^{}]*\}"), F.lit(0)), lambda o: F.try_parse_json(o).isNotNull())
+    return F.coalesce(parsed(fenced), parsed(outer), found)

@@ -96,6 +96,34 @@ def test_tone(spark):
 def test_rewrite_leaves_urls(spark):
     assert one(spark, rewrite.humanise(F.lit("震惊！看 https://a.b/赋能 赋能闭环"))) == "看 https://a.b/赋能 帮流程"
     assert one(spark, rewrite.humanise(F.lit("好，。真的！！"))) == "好。真的！"
+    assert one(spark, rewrite.humanise(F.lit("  a\\nb \n c 。 d"))) == "a\nb\nc。d"
+
+
+def test_rhythm_and_voice(spark):
+    long = "第一部分说了很多的话，第二部分也说了很多的话，第三部分还说了很多的话，最后收尾"
+    assert rewrite.vary_rhythm(long + "。") == "第一部分说了很多的话，第二部分也说了很多的话。第三部分还说了很多的话，最后收尾。"
+    assert rewrite.vary_rhythm("短。") == "短。" and rewrite.vary_rhythm(None) is None
+    assert rewrite.vary_rhythm("好的。不错。这是一个足够长的句子放在这里。") == "好的，不错。。这是一个足够长的句子放在这里。"
+    df = spark.createDataFrame([(long + "。",), (None,)], ["t"])
+    assert [r["x"] for r in df.select(rewrite.rhythm("t").alias("x")).collect()] == [rewrite.vary_rhythm(long + "。"), None]
+    voiced = one(spark, rewrite.long_form_voice(F.lit("我发现" + "很好用。" * 30 + "\n短行")))
+    assert voiced.startswith("今天发现很好用。很好用。\n") and voiced.endswith("\n短行")
+    assert one(spark, rewrite.short_post_voice(F.lit("句子内容很多很多很多。" * 20))) == "。".join(["句子内容很多很多很多"] * 12) + "..."
+    assert one(spark, rewrite.decorate(F.lit("用AI工具"), {"工具": "🔧", "AI": "🤖"})) == "用AI🔧 工具"
+
+
+def test_draft_parts(spark):
+    only = lambda t, s="rss": one(spark, drafts.one_platform_only(F.lit(t), F.lit(s)))
+    assert only("Snowflake quarterly") and only("某公司融资") and not only("某公司融资，发布新产品") and only("clash 更新", "my-github") and not only("clash 更新")
+    assert one(spark, drafts.persona(F.lit("aihot-hot")))["short"] == "行业观察编辑" and one(spark, drafts.persona(F.lit("zzz")))["short"] == "AI 内容编辑"
+    image = lambda t: one(spark, drafts.check_image(F.lit(t), ["二维码"], ["主体", "背景"]))
+    assert image("短")["ok"] is False and image("二维码" + "x" * 60)["ok"] is False and image("x" * 40)["ok"] and image("主体背景" + "x" * 70)["reason"] == "ok"
+    assert one(spark, drafts.image_quality(F.lit("3:4 主体 背景 海报" + "x" * 70), [], ["主体", "背景", "字体"], ["3:4"], [])) == 9
+    assert one(spark, drafts.discovery(F.lit('{"matched_terms":["a","b"],"points":3,"stars":7}'))) == "命中词: a, b | GitHub stars: 7 | HN points/comments: 3/0"
+    assert one(spark, drafts.payload(F.lit('{"xhs_title":"T","other_content":"","小红书内容":"C"}')))["other_title"] == "T"
+    assert one(spark, drafts.payload(F.lit('{"xhs_title":"T","other_content":"","小红书内容":"C"}')))["other_content"] == "C"
+    assert one(spark, drafts.reply_array(F.lit('x ```json [{"a":1}] ``` y'))) == ['{"a":1}']
+    assert one(spark, drafts.reply_array(F.lit('x [{"a":1}, {"b":2,}] y'))) == ['{"a":1}']
 
 
 def test_lengths(spark):
