@@ -401,16 +401,16 @@ def cap_per_source(spark, sf_dir):
     return relations.first_per(items(spark, sf_dir).select("source", "ordinal"), ["source"], ["ordinal"], 6)
 
 
-@query("SELECT c_custkey, event_id, event_type FROM customer LEFT JOIN (SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id) ON c_custkey = user_id")
+@query("SELECT c_custkey, coalesce(event_id, -1) AS event_id, event_type FROM customer LEFT JOIN (SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id) ON c_custkey = user_id")
 def reply_last_wins(spark, sf_dir):
     replies = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("c_custkey")).agg(F.max("event_id").alias("event_id"), F.max_by("event_type", "event_id").alias("event_type"))
-    return table(spark, sf_dir, "customer").select("c_custkey").join(replies, "c_custkey", "left")
+    return table(spark, sf_dir, "customer").select("c_custkey").join(replies, "c_custkey", "left").fillna(-1, ["event_id"])
 
 
-@query("SELECT c_custkey, event_id, event_type FROM customer LEFT JOIN (SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type FROM events GROUP BY user_id) ON c_custkey = user_id")
+@query("SELECT c_custkey, coalesce(event_id, -1) AS event_id, event_type FROM customer LEFT JOIN (SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type FROM events GROUP BY user_id) ON c_custkey = user_id")
 def reply_first_wins(spark, sf_dir):
     replies = table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey"), "event_id", "event_type", F.col("event_id").alias("at"))
-    return relations.with_replies(table(spark, sf_dir, "customer").select("c_custkey"), replies, "c_custkey", ["at"], last=False)
+    return relations.with_replies(table(spark, sf_dir, "customer").select("c_custkey"), replies, "c_custkey", ["at"], last=False).fillna(-1, ["event_id"])
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
