@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from feedloom.llm.common import stage
+
 #: Vocabulary name in the public tokenizers' folder.
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
@@ -61,7 +63,7 @@ def length_counts(docs: DataFrame, text_col: str = "text", vocabulary: str = VOC
     return counted.groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
 
 
-def histogram(counts: DataFrame, block: int = 1024) -> DataFrame:
+def histogram(counts: DataFrame, block: int = 64) -> DataFrame:
     """Suffix sums over exact lengths.
 
     ``length, n_docs, docs_at_least, tokens_at_least, docs_up_to,
@@ -72,6 +74,7 @@ def histogram(counts: DataFrame, block: int = 1024) -> DataFrame:
     totals, so no task holds all lengths.  An empty table gives no rows; null
     and empty texts have length 0.
     """
+    counts = stage(counts, "lengths")  # two branches below read it
     rows = counts.withColumns({"block": F.floor(F.col("length") / block), "tokens": F.col("length") * F.col("n_docs")})
     total = rows.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     after = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
