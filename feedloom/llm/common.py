@@ -77,6 +77,18 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def sample_documents(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``h, text`` of the ``n`` documents whose ids have the smallest hashes: a bounded sample for training.
+
+    Only hashes are ordered; texts are read by a filter on the largest of them.
+    Rows that share an id count once, with their smallest text.
+    """
+    h = F.xxhash64(F.col(id_col).cast("string"))
+    largest = docs.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    few = docs.select(h.alias("h"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return few.filter(F.col("h") <= F.lit(largest)).groupBy("h").agg(F.min("text").alias("text"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -212,7 +212,12 @@ def scores(feats: DataFrame, model: Model, threshold: float = THRESHOLD) -> Data
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents the model accepts, all columns, in one pass without a shuffle."""
+    """The documents the model accepts, all columns, in one pass without a shuffle.
+
+    A model that saw too few labels to tell the classes apart rejects none.
+    """
+    if not model.means:
+        return docs
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

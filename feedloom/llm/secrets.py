@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import stage
+from feedloom.llm.common import sample_documents, stage
 from feedloom.llm.spans import Kind, per_document, scan
 
 SAMPLE, RANDOM = 500, 4000
@@ -60,7 +60,7 @@ def random_strings(spark, n: int = RANDOM) -> DataFrame:
 
 def ordinary_identifiers(docs: DataFrame, n: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``token, label`` 0: words of a bounded sample of documents, and names joined from them."""
-    few = docs.select(F.xxhash64(F.col(id_col).cast("string"), F.length(text_col)).alias("h"), F.col(text_col).alias("text")).orderBy("h").limit(n)
+    few = sample_documents(docs, n, id_col, text_col)
     words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"(?<![A-Za-z])[A-Za-z]{2,}+"), F.lit(0))
     rows = few.select(words.alias("w"))
     trio = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - 2)), lambda i: F.filter(F.slice("w", i, 3), lambda x: x.isNotNull()))

@@ -91,7 +91,7 @@ def test_classifier_edges(spark):
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model, feats = qda.train(docs, marks)
     assert [r["score"] for r in qda.scores(feats, model).collect()] == [0.5] * 4
-    assert qda.accepted(docs, model).columns == docs.columns
+    assert qda.accepted(docs, model).columns == docs.columns and qda.accepted(docs, model).count() == 4
     model, feats = qda.train(docs.limit(0), marks)
     assert qda.scores(feats, model).count() == 0
 
