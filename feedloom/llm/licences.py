@@ -9,18 +9,20 @@ on held-out samples; below it a paragraph is of the unknown class.  A family
 is confirmed only where enough of the paragraph's bigrams, and enough of one
 of the family's templates, agree.
 
-Only paragraphs that hold a cue word are scored.  Cue words are chosen from
-the templates at training time: the words that a template has and the sampled
-prose has not, as few as leave every template at least two (one where it has
-no more).
+Every paragraph is scored.  A sum over its hash codes of the largest margin of
+any licence class over prose bounds the margin of the best class, so where that
+bound is below 0 the class is prose, and only the others are scored in full.
 
-Training is bounded: the templates, ``COPIES`` variants of each, and the
-paragraphs of ``SAMPLE`` documents.  Scoring covers every paragraph.
+Training is bounded: the templates, ``COPIES`` variants of each, their runs of
+``PARTS`` words, and the paragraphs of ``SAMPLE`` documents.  Scoring covers every paragraph.
 """
 
 from __future__ import annotations
 
+import functools
 import json
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -33,6 +35,8 @@ from feedloom.llm.common import sample_documents, stage
 DIM, COPIES, SAMPLE = 2048, 40, 300
 #: Share of the paragraph's and of the template's bigrams that must agree.
 CONFIRM = 0.6
+#: Lengths, in words, of the runs cut out of notices for training: lines that hold a part of a notice.
+PARTS = (6, 12)
 #: Share of held-out samples believed that must be right.
 RIGHT = 0.99
 PROSE, UNKNOWN = "prose", "unknown"
@@ -82,17 +86,23 @@ def bigrams_of(w: Column) -> Column:
 
 def codes_of(w: Column) -> Column:
     """Hash codes, below ``DIM``, of the distinct uni- and bigrams."""
-    return F.array_distinct(F.transform(F.concat(w, bigrams_of(w)), lambda g: F.pmod(F.xxhash64(g), F.lit(DIM)).cast("int")))
+    code = lambda *g: F.pmod(F.xxhash64(*g), F.lit(DIM)).cast("int")
+    rest = F.greatest(F.size(w) - 1, F.lit(0))
+    return F.array_distinct(F.concat(F.transform(w, lambda x: code(x)), F.zip_with(F.slice(w, 1, rest), F.slice(w, 2, rest), lambda x, y: code(x, y))))
+
+
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``value``, which is computed once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Per class ``DIM`` weights and an intercept; the believed probability; the cue words."""
+    """Per class ``DIM`` weights and an intercept; the believed probability."""
 
     weights: list[list[float]]
     intercepts: list[float]
     believed: float
-    cues: list[str]
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -116,6 +126,11 @@ def training_samples(docs: DataFrame) -> DataFrame:
     h = lambda x, i: F.pmod(F.xxhash64(F.col("key"), x, i), F.lit(100))
     kept = F.filter("w", lambda x, i: (F.col("copy") == 0) | (h(x, i) >= F.col("copy") % 4 * 5))
     known = noisy.select("label", F.when(F.size(kept) > 2, kept).otherwise(F.col("w")).alias("words"), "key")
+    # a part of a notice, as a line of a wrapped notice holds it
+    size = F.explode(F.array(*[F.lit(n) for n in PARTS])).alias("size")
+    runs = notices.select("label", "family", "variant", "w", size).filter(F.size("w") > F.col("size"))
+    runs = runs.select("*", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("size") + 1)).alias("at"))
+    parts = runs.select("label", F.slice("w", F.col("at"), F.col("size")).alias("words"), F.concat_ws(":", F.lit("part"), "family", "variant", "size", "at").alias("key"))
     # an unknown licence: every word from a notice of another family, in order of a hash
     pool = notices.select(F.explode("w").alias("x")).agg(F.sort_array(F.collect_list("x")).alias("pool"))  # the templates' words
     mixed = spark.range(COPIES * 8).coalesce(1).withColumnRenamed("id", "copy").join(F.broadcast(pool))
@@ -127,11 +142,11 @@ def training_samples(docs: DataFrame) -> DataFrame:
     marks = list({w for ts in TEMPLATES.values() for t in ts for w in t.lower().replace(",", " ").replace(".", " ").split() if len(w) > 5})
     clean = lines.filter((F.size("words") > 0) & ~F.arrays_overlap("words", F.array(*[F.lit(m) for m in sorted(marks)])))
     prose = clean.select(F.lit(CLASSES.index(PROSE)).alias("label"), "words", "key")
-    return known.unionByName(unknown).unionByName(prose).withColumn("fold", F.pmod(F.xxhash64("key"), F.lit(4)))
+    return known.unionByName(parts).unionByName(unknown).unionByName(prose).withColumn("fold", F.pmod(F.xxhash64("key"), F.lit(4)))
 
 
 def _best(codes: Column, model_weights: list[list[float]], intercepts: list[float]) -> Column:
-    """``struct<probability, best>``: the likeliest class of a set of hash codes.
+    """``struct<probability, best>``: the likeliest class of a set of hash codes, prose only if likelier than all others together.
 
     Lambda variables hold what is used more than once, so that it is computed once.
     """
@@ -140,13 +155,33 @@ def _best(codes: Column, model_weights: list[list[float]], intercepts: list[floa
 
     def top(sums: Column) -> Column:
         inverse = F.transform(sums, lambda x: F.aggregate(sums, F.lit(0.0), lambda a, y: a + F.exp(y - x)))
-        return F.element_at(F.transform(F.array(inverse), lambda q: F.struct((F.lit(1.0) / F.array_min(q)).alias("probability"), (F.array_position(q, F.array_min(q)) - 1).alias("best"))), 1)
+        prose = F.element_at(inverse, len(CLASSES)) < 2
+        among = F.when(prose, inverse).otherwise(F.slice(inverse, 1, len(CLASSES) - 1))
+        return F.element_at(F.transform(F.array(among), lambda q: F.struct((F.lit(1.0) / F.array_min(q)).alias("probability"), (F.array_position(q, F.array_min(q)) - 1).alias("best"))), 1)
 
     return F.aggregate(F.transform(codes, lambda c: F.get(table, c)), start, lambda a, row: F.zip_with(a, row, lambda x, y: x + y), top)
 
 
+def may_be_notice(codes: Column, model: Model) -> Column:
+    """False only where prose is likelier than all other classes together.
+
+    A class's margin over prose is at most the sum of the largest margins in its
+    group of classes, code by code; that no group's sum reaches ``-ln(classes)``
+    shows it.  First all classes are one group, then four.
+    """
+    rows = [[round(v, 4) for v in col] for col in zip(*model.weights, strict=True)]
+    prose = CLASSES.index(PROSE)
+
+    def reached(group: range) -> Column:
+        margins = F.from_json(F.lit(json.dumps([round(max(r[c] for c in group) - r[prose], 4) for r in rows])), "array<double>")
+        start = max(model.intercepts[c] for c in group) - model.intercepts[prose] + math.log(prose) + 1e-6
+        return F.aggregate(codes, F.lit(start), lambda a, c: a + F.get(margins, c)) >= 0
+
+    few = [range(prose - 1, prose), range(4), range(4, 7), range(7, prose - 1)]
+    return reached(range(prose)) & functools.reduce(lambda a, b: a | b, [reached(g) for g in few])
+
+
 def train(docs: DataFrame) -> Model:
-    spark = docs.sparkSession
     samples = stage(training_samples(docs).withColumn("codes", codes_of(F.col("words"))).coalesce(2), "samples")
     named = samples.filter("fold < 3").select("label", F.transform("codes", lambda c: c.cast("string")).alias("names"))
     sparse = CountVectorizerModel.from_vocabulary([str(i) for i in range(DIM)], inputCol="names", outputCol="features")
@@ -162,26 +197,7 @@ def train(docs: DataFrame) -> Model:
         if ok < RIGHT * n:
             believed = max(believed, min(0.95, top + 0.01))
             break
-    return Model(weights, intercepts, believed, _cues(spark, samples))
-
-
-def _cues(spark: SparkSession, samples: DataFrame) -> list[str]:
-    """The fewest template words, greedily, that prose lacks and that cover every template."""
-    held = {r["variant"]: set(r["w"]) for r in templates(spark).select(F.concat_ws(":", "family", "variant").alias("variant"), words_of(F.col("body")).alias("w")).collect()}
-    vocabulary = sorted(set().union(*held.values()))
-    common = samples.filter(F.col("label") == CLASSES.index(PROSE)).select(F.explode("words").alias("x")).filter(F.col("x").isin(vocabulary)).distinct()
-    prose = {r["x"] for r in common.collect()}  # no more than the templates' words
-    able = {v: {x for x in w if x not in prose and len(x) > 1} or w for v, w in held.items()}
-    need = {v: min(2, len(w)) for v, w in able.items()}
-    cues: list[str] = []
-    while any(need.values()):
-        gain = {x: sum(1 for v, w in able.items() if need[v] and x in w) for x in set().union(*able.values()) - set(cues)}
-        best = min(gain, key=lambda x: (-gain[x], x))
-        cues.append(best)
-        for v, w in able.items():
-            if best in w and need[v]:
-                need[v] -= 1
-    return cues
+    return Model(weights, intercepts, believed)
 
 
 def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,11 +209,12 @@ def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
     theirs; an empty table gives no rows; other columns are not read.
     """
     model = train(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))) if model is None else model
-    cue = "(?i)(?<![\\p{L}\\p{N}])(?:" + "|".join(sorted(c.replace(".", "\\.") for c in model.cues)) + ")(?![\\p{L}\\p{N}])"
-    likely = docs.filter(F.col(text_col).rlike(cue))
-    rows = paragraphs(likely, id_col, text_col).filter(F.col("body").rlike(cue)).withColumn("w", words_of(F.col("body")))
-    rows = rows.withColumn("p", _best(codes_of(F.col("w")), model.weights, model.intercepts)).select("*", "p.*")
-    rows = rows.filter(F.col("best") != CLASSES.index(PROSE)).withColumn("grams", bigrams_of(F.col("w")))
+    # one generator, so that no filter or projection computes the scores again
+    scored = lambda c: F.when(may_be_notice(c, model), _best(c, model.weights, model.intercepts))
+    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+    whole = F.transform(lines, lambda body, i: F.struct(i.alias("paragraph"), body.alias("body"), bound(words_of(body), lambda w: F.when(F.size(w) > 0, bound(codes_of(w), scored))).alias("p")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.filter(whole, lambda x: x["p"]["best"] != CLASSES.index(PROSE))).alias("x"))
+    rows = rows.select("doc_id", "x.paragraph", "x.body", "x.p.*").withColumn("grams", bigrams_of(words_of(F.col("body"))))
     known = templates(docs.sparkSession).select("label", bigrams_of(words_of(F.col("body"))).alias("g")).collect()  # the templates
     shares = []
     for r in known:

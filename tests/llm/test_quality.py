@@ -113,3 +113,14 @@ def test_licences(spark, tables):
     plain = corpus.filter("not lower(text) like '%licen%'")
     assert licences.scan(plain, model).filter("family <> 'unknown'").count() == 0
     assert licences.scan(docs.limit(0), model).count() == 0
+
+
+def test_licence_lines_without_a_usual_word(spark, tables):
+    """Lines that share no rare word with the templates are scored, and the bound drops none that the model takes."""
+    corpus = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text")
+    model = licences.train(corpus)
+    docs = spark.createDataFrame([(1, "Some prose before.\nthis software and associated documentation files\nand after")], "doc_id long, text string")
+    assert [(r["paragraph"], r["family"]) for r in licences.scan(docs, model).filter("paragraph = 1").collect()] == [(1, "unknown")]
+    rows = licences.paragraphs(corpus).withColumn("codes", licences.codes_of(licences.words_of(F.col("body")))).withColumn("p", licences._best(F.col("codes"), model.weights, model.intercepts))
+    assert rows.filter((F.col("p.best") < len(licences.CLASSES) - 1) & ~licences.may_be_notice(F.col("codes"), model)).count() == 0
+    assert rows.filter(~licences.may_be_notice(F.col("codes"), model)).count() > 0
