@@ -1,7 +1,9 @@
 """Personal data: base patterns, and identifiers found by bootstrapped contexts.
 
-Entities of the base patterns are the seeds.  Every token with a digit is a
-possible identifier; the one or two words before it are its cues.  Cues and
+Entities of the base patterns are the seeds, whatever their form.  Every other
+token with a digit is a possible identifier.  The one or two words before either
+are its cues, without a trailing colon or equals sign, and a word that such a
+sign glues to it.  Cues and
 identifiers form a graph.  A cue's confidence is the share of all its
 occurrences in the corpus that are followed by an identifier believed in; an
 identifier's is 1 for a seed, else the noisy-or of its trusted cues.  The two
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from feedloom.llm.common import broadcast_checked, stage
 from feedloom.llm.spans import Kind, per_document, scan
@@ -53,10 +56,10 @@ def luhn(c: Column) -> Column:
 def _kinds() -> list[Kind]:
     match = F.col("match")
     return [
-        Kind("email", EMAIL, "contains(text, '@')"),
-        Kind("ip", IP, "text rlike '[0-9][.][0-9]'", match.rlike(_IP_OK)),
-        Kind("card", CARD, "text rlike '[0-9][ -]?[0-9]'", luhn(match)),
-        Kind("phone", PHONE, "contains(text, '+')", F.length(_digits(match)).between(9, 15)),
+        Kind("email", EMAIL, "contains(text, '@')", lead=True),
+        Kind("ip", IP, "text rlike '[0-9][.][0-9]'", match.rlike(_IP_OK), lead=True),
+        Kind("card", CARD, "text rlike '[0-9][ -]?[0-9]'", luhn(match), lead=True),
+        Kind("phone", PHONE, "contains(text, '+')", F.length(_digits(match)).between(9, 15), lead=True),
         Kind("context", TOKEN, "text rlike '[0-9]'"),
     ]
 
@@ -65,26 +68,48 @@ NAMES = ["email", "ip", "card", "phone", "context"]
 BASE = 4
 
 
+def _cues(two: Column) -> Column:
+    """The cues of one or two words joined by a space: both and the last, where they hold no digit."""
+    two = F.trim(F.regexp_replace(two, "[:=]+(?= |$)", ""))
+    return F.filter(F.array_distinct(F.array(two, F.regexp_extract(two, r"[^ ]+$", 0))), lambda c: (c != "") & ~c.rlike("[0-9]"))
+
+
 def candidates(found: DataFrame) -> DataFrame:
-    """``uid, doc_id, start, end, instance, seed, cues`` of the tokens that may be identifiers."""
+    """``uid, doc_id, start, end, instance, seed, cues`` of the base spans and of the tokens, apart from them, that may be identifiers."""
+    columns = ("uid", "doc_id", "start", "end", "instance", "seed", "cues")
+    last = F.get("before", F.lit(2))
+    glued = F.when(last.rlike("^[^0-9:=]+[:=]+$"), F.array(F.regexp_replace(last, "[:=]+$", ""))).otherwise(F.array().cast("array<string>"))
+    words = _cues(F.concat_ws(" ", F.get("before", F.lit(0)), F.get("before", F.lit(1))))
+    seeds = found.filter(f"kind < {BASE}").withColumns({"instance": F.col("match"), "seed": F.lit(True), "cues": F.when(last.rlike(r"[\p{L}\p{N}]"), glued).otherwise(words)})
     rows = found.filter(f"kind = {BASE}").withColumn("token", F.regexp_extract("match", rf"[^{_GAP}]+$", 0))
-    rows = rows.withColumn("lead", F.length("match") - F.length("token"))
-    rows = rows.withColumn("instance", F.regexp_extract("token", r"[A-Za-z0-9+](?:.*[A-Za-z0-9])?", 0))
-    at = F.col("start") + F.col("lead") + F.instr("token", F.col("instance")) - 1
+    rows = rows.withColumn("lead", F.length("match") - F.length("token")).withColumn("prefix", F.regexp_extract("token", "^([^0-9:=]+)[:=]+", 0))
     cue = F.lower(F.trim(F.regexp_replace(F.substring("match", F.lit(1), F.col("lead")), rf"[{_GAP}]+", " ")))
-    last = F.regexp_extract(cue, r"[^ ]+$", 0)
-    c = F.col("instance")
-    seed = c.rlike(f"^{EMAIL}$") | c.rlike(_IP_OK) | (c.rlike("^[0-9]{13,19}$") & luhn(c)) | c.rlike(r"^\+[0-9]")
-    rows = rows.select("uid", "doc_id", at.alias("start"), (at + F.length(c)).alias("end"), "instance", seed.alias("seed"), F.array_distinct(F.array(cue, last)).alias("cues"))
-    return rows.filter((F.length("instance") >= 4) & F.col("instance").rlike("[0-9]"))
+    own = F.array(F.lower(F.regexp_replace("prefix", "[:=]+$", "")))
+    whole = F.struct(F.lit(0).alias("skip"), _cues(cue).alias("cues"))
+    rest = F.when(F.col("prefix") != "", F.struct(F.length("prefix").alias("skip"), own.alias("cues")))
+    rows = rows.select("*", F.explode(F.array_compact(F.array(whole, rest))).alias("x")).withColumn("part", F.expr("substring(token, x.skip + 1)"))
+    rows = rows.withColumn("instance", F.regexp_extract("part", r"[A-Za-z0-9+](?:.*[A-Za-z0-9])?", 0))
+    at = F.col("start") + F.col("lead") + F.col("x.skip") + F.instr("part", F.col("instance")) - 1
+    rows = rows.withColumns({"start": at, "end": at + F.length("instance"), "seed": F.lit(False), "cues": F.col("x.cues")})
+    rows = rows.filter((F.length("instance") >= 4) & F.col("instance").rlike("[0-9]"))
+    # base spans that start up to here, and from here on
+    w = Window.partitionBy("uid").orderBy("start")
+    reach = F.max(F.when(F.col("seed"), F.col("end"))).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    ahead = F.min(F.when(F.col("seed"), F.col("start"))).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    both = seeds.select(*columns).unionByName(rows.select(*columns)).withColumns({"reach": reach, "ahead": ahead})
+    apart = F.coalesce(F.col("reach") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("ahead") >= F.col("end"), F.lit(True))
+    return both.filter(F.col("seed") | apart).select(*columns)
 
 
 def cue_counts(docs: DataFrame, cues: DataFrame, text_col: str = "text") -> DataFrame:
-    """``cue, total``: how often each cue of one or two words occurs in all texts."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), rf"[{_GAP}]+"), lambda w: w != "")
-    rows = docs.select(words.alias("w"))
+    """``cue, total``: how often each cue of one or two words, also one glued by a colon or equals sign, occurs in all texts."""
+    text = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+    signs = text.contains(":") | text.contains("=")
+    words = F.filter(F.split(F.when(signs, F.regexp_replace(text, rf"[:=]++(?![^{_GAP}])", "")).otherwise(text), rf"[{_GAP}]+"), lambda w: w != "")
+    glued = F.regexp_extract_all(text, F.lit(rf"(?<![^{_GAP}])([^{_GAP}0-9:=]++)[:=]++[^{_GAP}]"), F.lit(1))
+    rows = docs.select(words.alias("w"), F.when(signs, glued).otherwise(F.array().cast("array<string>")).alias("g"))
     pairs = F.zip_with(F.col("w"), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, F.when(b.isNotNull(), b)))
-    seen = rows.select(F.explode(F.concat("w", F.when(F.size("w") > 1, F.slice(pairs, 1, F.greatest(F.size("w") - 1, F.lit(0)))).otherwise(F.array().cast("array<string>")))).alias("_cue"))
+    seen = rows.select(F.explode(F.concat("w", "g", F.when(F.size("w") > 1, F.slice(pairs, 1, F.greatest(F.size("w") - 1, F.lit(0)))).otherwise(F.array().cast("array<string>")))).alias("_cue"))
     return seen.join(broadcast_checked(cues), seen["_cue"] == cues["cue"]).groupBy("cue").agg(F.count("*").alias("total"))
 
 

@@ -24,21 +24,26 @@ class Kind:
     regex: str
     guard: str
     valid: Column | None = None
+    #: Whether ``before`` is given: the last three pieces, cut at white space, of what lies between the last match and this one.
+    lead: bool = False
 
 
 def scan(docs: DataFrame, kinds: list[Kind], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``uid, doc_id, kind, start, end, match``: the matches of each document, all null where it has none.
+    """``uid, doc_id, kind, start, end, match, before``: the matches of each document, all null where it has none.
 
     ``uid`` tells rows apart, also rows that repeat; ``kind`` is the number in
     ``kinds``; positions are code points, the end exclusive.
     """
     text = F.col("text")
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    none = F.array().cast("array<struct<kind:int,pos:int,gap:int,match:string>>")
+    none = F.array().cast("array<struct<kind:int,pos:int,gap:int,match:string,before:array<string>>>")
 
     def found(no: int, kind: Kind) -> Column:
         pieces = F.zip_with(F.regexp_extract_all(text, F.lit(kind.regex), F.lit(0)), F.split(text, kind.regex, -1), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-        numbered = F.transform(pieces, lambda p, i: F.struct(F.lit(no).alias("kind"), i.alias("pos"), F.length(p["g"]).alias("gap"), p["m"].alias("match")))
+        def before(gap: Column) -> Column:
+            return F.slice(F.concat(F.array(F.lit(""), F.lit("")), F.split(F.lower(gap), r"[\x20\x09-\x0D]+", -1)), -3, 3) if kind.lead else F.lit(None).cast("array<string>")
+
+        numbered = F.transform(pieces, lambda p, i: F.struct(F.lit(no).alias("kind"), i.alias("pos"), F.length(p["g"]).alias("gap"), p["m"].alias("match"), F.when(p["m"].isNotNull(), before(p["g"])).alias("before")))
         return F.when(F.expr(kind.guard), F.filter(numbered, lambda p: p["match"].isNotNull())).otherwise(none)
 
     pieces = rows.select("uid", "doc_id", F.explode_outer(F.concat(*[found(i, k) for i, k in enumerate(kinds)])).alias("p")).repartition("uid")
@@ -51,7 +56,7 @@ def scan(docs: DataFrame, kinds: list[Kind], id_col: str = "doc_id", text_col: s
             ok = F.when(F.col("kind") == i, k.valid).otherwise(ok)
     keep = F.col("match").isNotNull() & ok
     null_unless = lambda c: F.when(keep, c)
-    return flat.select("uid", "doc_id", null_unless(F.col("kind")).alias("kind"), null_unless(F.col("end") - F.col("len")).alias("start"), null_unless(F.col("end")).alias("end"), null_unless(F.col("match")).alias("match"))
+    return flat.select("uid", "doc_id", null_unless(F.col("kind")).alias("kind"), null_unless(F.col("end") - F.col("len")).alias("start"), null_unless(F.col("end")).alias("end"), null_unless(F.col("match")).alias("match"), null_unless(F.col("before")).alias("before"))
 
 
 def joined(spans: Column, names: list[str], by_kind: bool) -> Column:

@@ -73,6 +73,21 @@ def test_contexts_discover_unseen_identifiers(spark):
             assert not found
 
 
+def test_base_spans_of_any_form_are_seeds(spark):
+    """Phones with spaces and emails without a digit make a cue trusted, also where a colon glues it on."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for i in range(60):
+        phone, mail, code = f"+1 ({i + 100}) 555-77{i:02d}", f"jo{letters[i % 26]}{letters[i // 26]}@mail.org", f"QX-{i * 7919}-Z"
+        mark = code if i % 6 == 0 else (phone if i % 2 else mail)
+        rows.append((i, f"it was long. Reach line: {mark} and on"))
+        rows.append((100 + i, f"it was long. dial:{mark if mark != mail else phone} and on"))
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        found = [text[int(a) : int(b)] for _, a, b in (x.split(":") for x in got[i].split(",") if x.startswith("context"))]
+        assert found == ([re.search(r"QX-\d+-Z", text)[0]] if i % 100 % 6 == 0 else []), (text, got[i])
+
+
 def test_secrets(spark):
     pieces = ["password=", "token = ", '"', "'", "API_KEY: ", "apikey:", "secret", "=", ":", " ", "\n", "é", "\U0001f600", "AKIA", "ABCDEFGH1234", "a1b2c3d4e5f60718" * 2, "f", "word", "hunter22", "x.y=z", "Passwd"]
     rows = noisy(pieces, 600, 2) + [(1000, None), (1001, ""), (None, "token=abcdefgh12"), (1002, "f" * 50_000), (1003, "AKIA" * 9_000), (1001, "secret: 12345678")]
