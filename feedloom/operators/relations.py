@@ -111,20 +111,56 @@ def cluster_titles(df: DataFrame, block: list[str], threshold: float = 0.72) ->
     return keyed.groupBy(*block).applyInPandas(fold, schema)
 
 
+def _best_members(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The representative of each cluster: Spark keeps one row a cluster before the shuffle."""
+    return first_per(df, keys, [F.desc("heat_score"), F.desc(F.length(F.coalesce("content", F.lit("")))), F.desc(F.length(F.coalesce("snippet", F.lit("")))), "ordinal"])
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which null keys are equal."""
+    named = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return left.join(named, cond).drop(*[f"_k_{k}" for k in keys])
+
+
 def representatives(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per cluster: most heat, then longest content and snippet, then first.
 
-    ``cluster_size`` counts all members, ``related_urls`` lists other urls in order.
+    ``cluster_size`` counts all members, ``related_urls`` lists other urls in
+    order: for clusters of a bounded size; :func:`representative_counts` has no array.
     """
-    w = Window.partitionBy(*keys)
-    best = w.orderBy(F.desc("heat_score"), F.desc(F.length(F.coalesce("content", F.lit("")))), F.desc(F.length(F.coalesce("snippet", F.lit("")))), "ordinal")
     groups = df.groupBy(*keys).agg(F.count("*").alias("cluster_size"), F.sort_array(F.collect_list(F.struct("ordinal", "url"))).alias("_members"))
-    top = df.withColumn("_rn", F.row_number().over(best)).filter("_rn = 1").drop("_rn", "cluster_size", "related_urls")
-    joined = top.join(groups, keys)
+    joined = _join_null_safe(_best_members(df, keys).drop("cluster_size", "related_urls"), groups, keys)
     urls = F.transform(F.filter("_members", lambda m: m["url"] != F.col("url")), lambda m: m["url"])
     return joined.withColumn("related_urls", urls).drop("_members")
 
 
+def representative_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, ordinal, cluster_size, n_related`` of each cluster's representative, for clusters of any size.
+
+    Members meet their representative as rows and are counted before the shuffle.
+    """
+    top = _best_members(df, keys).select(*keys, F.col("ordinal").alias("_at"), F.col("url").alias("_url"))
+    rows = _join_null_safe(df.select(*keys, "url"), top, keys)
+    found = rows.groupBy(*keys).agg(F.first("_at").alias("ordinal"), F.count("*").alias("cluster_size"), F.count_if(F.col("url") != F.col("_url")).alias("n_related"))
+    return found
+
+
+def numbered(df: DataFrame, group: str, order: str, width: int = 1 << 16) -> DataFrame:
+    """Add ``_rn``, from 0, by the whole number ``order`` within ``group``, also where a group is most of the table.
+
+    Ranges of ``width`` keys are numbered apart; prefix sums of their counts join them.
+    """
+    rows = df.withColumn("_range", F.floor(F.col(order) / width))
+    counts = rows.groupBy(group, "_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    joined = _join_null_safe(rows, counts.select(group, "_range", before.alias("_before")), [group, "_range"])
+    own = F.row_number().over(Window.partitionBy(group, "_range").orderBy(order)) - 1
+    return joined.withColumn("_rn", F.col("_before") + own).drop("_range", "_before")
+
+
 def quota_pick(df: DataFrame, bucket: str, order: str, n: int) -> DataFrame:
     """The top ``n`` under quotas: 45 % tech first, neutral in its stead, then 35 % general, then what is left.
 

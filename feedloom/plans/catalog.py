@@ -313,7 +313,7 @@ def enrich(spark, sf_dir):
     SELECT lang, hot_list, ordinal, cluster_size, cluster_size - 1 AS n_related FROM r WHERE rn = 1""")
 def event_representatives(spark, sf_dir):
     rows = items(spark, sf_dir).filter("hot_list is not null")
-    return relations.representatives(rows, ["lang", "hot_list"]).select("lang", "hot_list", "ordinal", "cluster_size", F.size("related_urls").cast("long").alias("n_related"))
+    return relations.representative_counts(rows, ["lang", "hot_list"])
 
 
 @query()
@@ -497,7 +497,7 @@ def json_fields(spark, sf_dir):
 @query("""SELECT chunk, count(*) AS n_rows, min(o_orderkey) AS first_key FROM (SELECT o_orderkey, (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 40 AS chunk, o_orderstatus FROM orders) GROUP BY o_orderstatus, chunk""")
 def chunks(spark, sf_dir):
     """Batches of forty within a status."""
-    rows = table(spark, sf_dir, "orders").withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("o_orderstatus").orderBy("o_orderkey")) - 1) / 40))
+    rows = relations.numbered(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderkey").withColumn("chunk", F.floor(F.col("_rn") / 40))
     return rows.groupBy("o_orderstatus", "chunk").agg(F.count("*").alias("n_rows"), F.min("o_orderkey").alias("first_key")).drop("o_orderstatus")
 
 

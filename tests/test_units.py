@@ -280,3 +280,14 @@ def test_draft_checks(spark):
     assert one(spark, drafts.hook_type(F.lit("这不是小事"), F.lit(""))) == "反常识" and one(spark, drafts.hook_type(F.lit("abc"), F.lit("ecosystem_shift"))) == "生态迁移"
     assert one(spark, scoring.normalise_platform(F.lit(" X only "), F.lit(True))) == "仅X" and one(spark, scoring.normalise_platform(F.lit("?"), F.lit(True))) == "X+小红书"
     assert one(spark, scoring.reject_kind(F.lit("首次失败: X质量分 3"))) == "x_quality_fail" and re.match("x_", one(spark, scoring.reject_kind(F.lit("X质量分 3"))))
+
+
+def test_representatives_of_a_null_key_and_numbers_across_ranges(spark):
+    from feedloom.operators import relations
+
+    rows = spark.createDataFrame([(i, f"u{i}", None if i % 2 else "en", "c" * (i % 3), "", float(i % 4)) for i in range(20)], "ordinal long, url string, lang string, content string, snippet string, heat_score double")
+    whole = {r["lang"]: (r["ordinal"], r["cluster_size"], len(r["related_urls"])) for r in relations.representatives(rows, ["lang"]).collect()}
+    counts = {r["lang"]: (r["ordinal"], r["cluster_size"], r["n_related"]) for r in relations.representative_counts(rows, ["lang"]).collect()}
+    assert whole == counts and {k: v[1:] for k, v in counts.items()} == {None: (10, 9), "en": (10, 9)}
+    got = relations.numbered(rows, "lang", "ordinal", 3).collect()
+    assert {(r["ordinal"], r["_rn"]) for r in got} == {(i, i // 2) for i in range(20)}
