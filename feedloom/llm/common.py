@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,17 @@ BROADCAST_ROWS = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder: ``spark.checkpoint.dir``.
+    """The cluster's shared scratch folder: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given.
 
-    Only where the session has none (a local test) a temporary folder is set.
+    Only a local master may have neither (a test); a temporary folder is set
+    there.  On a cluster each executor would write to its own disk, so it stops.
     """
-    got = spark.conf.get("spark.checkpoint.dir", None)
+    got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not got:
         got = spark.conf.get("feedloom.local.scratch", None)
     if not got:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         got = "file://" + tempfile.mkdtemp(prefix="feedloom-")
         spark.conf.set("feedloom.local.scratch", got)
     return got.rstrip("/")
@@ -73,6 +77,35 @@ def keep_rows(docs: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
     return docs.join(right, same(docs, right, keys), "left_semi")
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``value``, which is computed once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def running(values: Column, start: Column, f: Callable[[Column, Column], Column], block: int = 64) -> Column:
+    """The running results of an associative ``f`` over an array, ``start`` being neutral.
+
+    Appending to an array copies it, so the results are built in blocks, and
+    the blocks' last results are carried over: n values cost about
+    n x ``block`` copies, not n x n.
+    """
+
+    def fold(part: Column) -> Column:
+        empty = F.struct(F.slice(F.array(start), 1, 0).alias("all"), start.alias("last"))
+        step = lambda a, x: bound(f(a["last"], x), lambda y: F.struct(F.array_append(a["all"], y).alias("all"), y.alias("last")))
+        return F.aggregate(part, empty, step, lambda a: a["all"])
+
+    def carried(parts: Column) -> Column:
+        totals = fold(F.transform(parts, lambda p: F.element_at(p, -1)))
+        return F.flatten(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(bound(F.get(totals, i - 1), lambda t: F.transform(p, lambda x: f(t, x))))))
+
+    def blocks(whole: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(whole), F.lit(block))
+        return F.when(F.size(whole) == 0, whole).when(F.size(whole) <= block, fold(whole)).otherwise(bound(F.transform(starts, lambda i: fold(F.slice(whole, i, block))), carried))
+
+    return bound(values, blocks)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

@@ -18,10 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from feedloom.llm.common import broadcast_checked, stage
-from feedloom.llm.spans import Kind, per_document, scan
+from feedloom.llm.common import BROADCAST_ROWS, bound, broadcast_checked, stage
+from feedloom.llm.spans import Kind, apart, digest, scan
 
 #: A cue is trusted from this confidence and so many different believed identifiers; rounds of scoring.
 TRUST, SUPPORT, ROUNDS = 0.8, 3, 3
@@ -34,8 +33,8 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: Runs of digits parted by single spaces or hyphens; a single digit fails the count.
 CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Up to two words without digits, then a token with one.
-TOKEN = rf"(?<![^{_GAP}])(?:[^{_GAP}0-9]{{1,40}}+[\x20\x09]{{1,4}}+){{0,2}}[^{_GAP}0-9]{{0,40}}+[0-9][^{_GAP}]{{0,80}}+"
+#: Up to two words without digits, then a token with one.  It starts at a token's start, and what each part takes ends where the next may start, so nothing is tried twice.
+TOKEN = rf"(?<![^{_GAP}])(?:[^{_GAP}0-9]++[{_GAP}]++){{0,2}}+[^{_GAP}0-9]*+[0-9][^{_GAP}]*+"
 
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _IP_OK = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
@@ -47,70 +46,100 @@ def _digits(c: Column) -> Column:
 
 def luhn(c: Column) -> Column:
     """Whether 13 to 19 digits of ``c`` pass the Luhn check."""
-    d = _digits(c)
-    values = F.transform(F.split(F.reverse(d), ""), lambda x, i: F.when(i % 2 == 0, x.cast("int")).otherwise(F.element_at(F.array(*[F.lit(v) for v in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)]), x.cast("int") + 1)))
-    total = F.aggregate(F.filter(values, lambda v: v.isNotNull()), F.lit(0), lambda a, v: a + v)
-    return F.when(F.length(d).between(13, 19), total % 10 == 0).otherwise(F.lit(False))
+    twice = F.array(*[F.lit(v) for v in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)])
+
+    def passes(d: Column) -> Column:
+        values = F.transform(F.filter(F.split(F.reverse(d), ""), lambda x: x != ""), lambda x, i: F.when(i % 2 == 0, x.cast("int")).otherwise(F.get(twice, x.cast("int"))))
+        return F.when(F.length(d).between(13, 19), F.aggregate(values, F.lit(0), lambda a, v: a + v) % 10 == 0).otherwise(F.lit(False))
+
+    return F.when(F.length(c) >= 13, bound(_digits(c), passes)).otherwise(F.lit(False))
 
 
 def _kinds() -> list[Kind]:
-    match = F.col("match")
     return [
         Kind("email", EMAIL, "contains(text, '@')", lead=True),
-        Kind("ip", IP, "text rlike '[0-9][.][0-9]'", match.rlike(_IP_OK), lead=True),
-        Kind("card", CARD, "text rlike '[0-9][ -]?[0-9]'", luhn(match), lead=True),
-        Kind("phone", PHONE, "contains(text, '+')", F.length(_digits(match)).between(9, 15), lead=True),
+        Kind("ip", IP, "text rlike '[0-9][.][0-9]'", lambda m: m.rlike(_IP_OK), lead=True),
+        Kind("card", CARD, "text rlike '[0-9][ -]?[0-9]'", luhn, lead=True),
+        Kind("phone", PHONE, "contains(text, '+')", lambda m: F.length(_digits(m)).between(9, 15), lead=True),
         Kind("context", TOKEN, "text rlike '[0-9]'"),
     ]
 
 
 NAMES = ["email", "ip", "card", "phone", "context"]
 BASE = 4
+_TEXTS = "array<string>"
 
 
 def _cues(two: Column) -> Column:
     """The cues of one or two words joined by a space: both and the last, where they hold no digit."""
-    two = F.trim(F.regexp_replace(two, "[:=]+(?= |$)", ""))
-    return F.filter(F.array_distinct(F.array(two, F.regexp_extract(two, r"[^ ]+$", 0))), lambda c: (c != "") & ~c.rlike("[0-9]"))
-
-
-def candidates(found: DataFrame) -> DataFrame:
-    """``uid, doc_id, start, end, instance, seed, cues`` of the base spans and of the tokens, apart from them, that may be identifiers."""
-    columns = ("uid", "doc_id", "start", "end", "instance", "seed", "cues")
-    last = F.get("before", F.lit(2))
-    glued = F.when(last.rlike("^[^0-9:=]+[:=]+$"), F.array(F.regexp_replace(last, "[:=]+$", ""))).otherwise(F.array().cast("array<string>"))
-    words = _cues(F.concat_ws(" ", F.get("before", F.lit(0)), F.get("before", F.lit(1))))
-    seeds = found.filter(f"kind < {BASE}").withColumns({"instance": F.col("match"), "seed": F.lit(True), "cues": F.when(last.rlike(r"[\p{L}\p{N}]"), glued).otherwise(words)})
-    rows = found.filter(f"kind = {BASE}").withColumn("token", F.regexp_extract("match", rf"[^{_GAP}]+$", 0))
-    rows = rows.withColumn("lead", F.length("match") - F.length("token")).withColumn("prefix", F.regexp_extract("token", "^([^0-9:=]+)[:=]+", 0))
-    cue = F.lower(F.trim(F.regexp_replace(F.substring("match", F.lit(1), F.col("lead")), rf"[{_GAP}]+", " ")))
-    own = F.array(F.lower(F.regexp_replace("prefix", "[:=]+$", "")))
-    whole = F.struct(F.lit(0).alias("skip"), _cues(cue).alias("cues"))
-    rest = F.when(F.col("prefix") != "", F.struct(F.length("prefix").alias("skip"), own.alias("cues")))
-    rows = rows.select("*", F.explode(F.array_compact(F.array(whole, rest))).alias("x")).withColumn("part", F.expr("substring(token, x.skip + 1)"))
-    rows = rows.withColumn("instance", F.regexp_extract("part", r"[A-Za-z0-9+](?:.*[A-Za-z0-9])?", 0))
-    at = F.col("start") + F.col("lead") + F.col("x.skip") + F.instr("part", F.col("instance")) - 1
-    rows = rows.withColumns({"start": at, "end": at + F.length("instance"), "seed": F.lit(False), "cues": F.col("x.cues")})
-    rows = rows.filter((F.length("instance") >= 4) & F.col("instance").rlike("[0-9]"))
-    # base spans that start up to here, and from here on
-    w = Window.partitionBy("uid").orderBy("start")
-    reach = F.max(F.when(F.col("seed"), F.col("end"))).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    ahead = F.min(F.when(F.col("seed"), F.col("start"))).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    both = seeds.select(*columns).unionByName(rows.select(*columns)).withColumns({"reach": reach, "ahead": ahead})
-    apart = F.coalesce(F.col("reach") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("ahead") >= F.col("end"), F.lit(True))
-    return both.filter(F.col("seed") | apart).select(*columns)
-
-
-def cue_counts(docs: DataFrame, cues: DataFrame, text_col: str = "text") -> DataFrame:
-    """``cue, total``: how often each cue of one or two words, also one glued by a colon or equals sign, occurs in all texts."""
+    ends = lambda t: F.filter(F.array_distinct(F.array(t, F.regexp_extract(t, r"[^ ]+$", 0))), lambda c: (c != "") & ~c.rlike("[0-9]"))
+    return bound(F.trim(F.regexp_replace(two, "[:=]+(?= |$)", "")), ends)
+
+
+def _seed(s: Column) -> Column:
+    """``instance, seed, cues`` of a base span: the words before it, or a word that a colon or equals sign glues to it."""
+    last = F.get(s["before"], F.lit(2))
+    glued = F.when(last.rlike("^[^0-9:=]+[:=]+$"), F.array(F.regexp_replace(last, "[:=]+$", ""))).otherwise(F.array().cast(_TEXTS))
+    words = _cues(F.concat_ws(" ", F.get(s["before"], F.lit(0)), F.get(s["before"], F.lit(1))))
+    return F.struct(s["match"].alias("instance"), F.lit(True).alias("seed"), F.when(last.rlike(r"[\p{L}\p{N}]"), glued).otherwise(words).alias("cues"))
+
+
+def _possible(s: Column) -> Column:
+    """``start, end, instance, cues`` of what a token may hold: all of it, and what follows a glued word."""
+
+    def part(token: Column, skip: Column, cues: Column) -> Column:
+        rest = F.substring(token, skip + 1, F.length(token))
+        whole = lambda t: F.struct(t.alias("text"), F.regexp_extract(t, r"(?s)[A-Za-z0-9+](?:.*[A-Za-z0-9])?", 0).alias("instance"))
+
+        def placed(r: Column) -> Column:
+            at = s["end"] - F.length(r["text"]) + F.instr(r["text"], r["instance"]) - 1
+            return F.struct(at.alias("start"), (at + F.length(r["instance"])).alias("end"), r["instance"].alias("instance"), cues.alias("cues"))
+
+        return bound(bound(rest, whole), placed)
+
+    def parts(token: Column) -> Column:
+        lead = F.substring(s["match"], F.lit(1), F.length(s["match"]) - F.length(token))
+        before = _cues(F.lower(F.trim(F.regexp_replace(lead, rf"[{_GAP}]+", " "))))
+        prefix = F.regexp_extract(token, "^([^0-9:=]+)[:=]+", 0)
+        own = lambda p: F.when(p != "", part(token, F.length(p), F.array(F.lower(F.regexp_replace(p, "[:=]+$", "")))))
+        return F.array_compact(F.array(part(token, F.lit(0), before), bound(prefix, own)))
+
+    return F.filter(bound(F.regexp_extract(s["match"], rf"[^{_GAP}]+$", 0), parts), lambda x: (F.length(x["instance"]) >= 4) & x["instance"].rlike("[0-9]"))
+
+
+def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``uid, doc_id, own, seeds, maybe`` of each row: base spans, the same as graph nodes, and the tokens apart from them that may be identifiers."""
+    found = scan(docs, _kinds(), BASE, id_col, text_col)
+    own = F.transform("own", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    maybe = apart(F.flatten(F.transform("more", _possible)), F.col("own"))
+    return found.select(F.monotonically_increasing_id().alias("uid"), "doc_id", own.alias("own"), F.transform("own", _seed).alias("seeds"), maybe.alias("maybe"))
+
+
+def edges(rows: DataFrame) -> DataFrame:
+    """``cue, instance, n, seed``: how often a cue precedes an instance."""
+    nodes = F.concat("seeds", F.transform("maybe", lambda x: F.struct(x["instance"].alias("instance"), F.lit(False).alias("seed"), x["cues"].alias("cues"))))
+    flat = rows.select(F.explode(nodes).alias("x")).select("x.instance", "x.seed", F.explode("x.cues").alias("cue"))
+    return flat.filter("cue <> ''").groupBy("cue", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
+
+
+def cue_counts(docs: DataFrame, cues: DataFrame, text_col: str = "text", limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``cue, total``: how often each cue of one or two words, also one glued by a colon or equals sign, occurs in all texts.
+
+    Up to ``limit`` cues are broadcast, so only their occurrences are counted.
+    Beyond it all words are counted first, in the tasks that read them, and
+    the counts, not the words, meet the cues.
+    """
     text = F.lower(F.coalesce(F.col(text_col), F.lit("")))
     signs = text.contains(":") | text.contains("=")
     words = F.filter(F.split(F.when(signs, F.regexp_replace(text, rf"[:=]++(?![^{_GAP}])", "")).otherwise(text), rf"[{_GAP}]+"), lambda w: w != "")
     glued = F.regexp_extract_all(text, F.lit(rf"(?<![^{_GAP}])([^{_GAP}0-9:=]++)[:=]++[^{_GAP}]"), F.lit(1))
-    rows = docs.select(words.alias("w"), F.when(signs, glued).otherwise(F.array().cast("array<string>")).alias("g"))
+    rows = docs.select(words.alias("w"), F.when(signs, glued).otherwise(F.array().cast(_TEXTS)).alias("g"))
     pairs = F.zip_with(F.col("w"), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, F.when(b.isNotNull(), b)))
-    seen = rows.select(F.explode(F.concat("w", "g", F.when(F.size("w") > 1, F.slice(pairs, 1, F.greatest(F.size("w") - 1, F.lit(0)))).otherwise(F.array().cast("array<string>")))).alias("_cue"))
-    return seen.join(broadcast_checked(cues), seen["_cue"] == cues["cue"]).groupBy("cue").agg(F.count("*").alias("total"))
+    seen = rows.select(F.explode(F.concat("w", "g", F.when(F.size("w") > 1, F.slice(pairs, 1, F.greatest(F.size("w") - 1, F.lit(0)))).otherwise(F.array().cast(_TEXTS)))).alias("_cue"))
+    if cues.limit(limit + 1).count() <= limit:
+        return seen.join(F.broadcast(cues), seen["_cue"] == cues["cue"]).groupBy("cue").agg(F.count("*").alias("total"))
+    counted = seen.groupBy("_cue").agg(F.count("*").alias("total"))
+    return counted.join(cues, counted["_cue"] == cues["cue"]).select("cue", "total")
 
 
 def trusted_cues(edges: DataFrame, totals: DataFrame, trust: float = TRUST, support: int = SUPPORT, rounds: int = ROUNDS) -> DataFrame:
@@ -140,13 +169,17 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     by row; a document without spans has empty ``spans``; an empty table gives
     no rows; other columns are not read.
     """
-    found = stage(scan(docs, _kinds(), id_col, text_col), "spans")
-    maybe = candidates(found)
-    pairs = maybe.select("instance", "seed", F.explode("cues").alias("cue")).filter("cue <> ''")
-    edges = stage(pairs.groupBy("cue", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed")), "edges")
-    enough = stage(edges.groupBy("cue").agg(F.count("*").alias("k")).filter(f"k >= {SUPPORT}").select("cue"), "cues")
+    rows = stage(marked(docs, id_col, text_col), "spans")
+    graph = stage(edges(rows), "edges")
+    enough = stage(graph.groupBy("cue").agg(F.count("*").alias("k")).filter(f"k >= {SUPPORT}").select("cue"), "cues")
     totals = stage(cue_counts(docs, enough, text_col), "totals")
-    good = trusted_cues(edges, totals)
-    hits = maybe.filter("not seed").select("uid", "doc_id", "start", "end", F.explode("cues").alias("_cue"))
-    extra = hits.join(broadcast_checked(good), hits["_cue"] == good["cue"]).select("uid", "doc_id", F.lit(BASE).alias("kind"), "start", "end")
-    return per_document(found, extra, NAMES, BASE, by_kind=True)
+    good = trusted_cues(graph, totals)
+    span = F.struct(F.lit(BASE).alias("kind"), "start", "end")
+    none = F.array().cast(rows.schema["own"].dataType)
+    if good.isEmpty():
+        return digest(rows.withColumn("added", none), NAMES, BASE, by_kind=True)
+    hits = rows.select("uid", F.explode("maybe").alias("x")).select("uid", "x.start", "x.end", F.explode("x.cues").alias("_cue"))
+    hits = hits.join(broadcast_checked(good), hits["_cue"] == good["cue"]).select(F.col("uid").alias("_uid"), span.alias("s"))
+    found = stage(hits.groupBy("_uid").agg(F.collect_set("s").alias("added")), "added")  # one document's spans
+    both = rows.select("uid", "doc_id", "own").join(broadcast_checked(found), F.col("uid") == F.col("_uid"), "left")
+    return digest(both.withColumn("added", F.coalesce("added", none)), NAMES, BASE, by_kind=True)

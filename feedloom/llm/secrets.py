@@ -3,8 +3,10 @@
 Two first-order character models are trained on labelled samples: random
 strings (hex, base64 and upper-case keys derived from hashes) and ordinary
 identifiers (words of the corpus, alone and joined in the usual styles).  A
-token of 20 or more key characters is a secret when its log-likelihood ratio
-per character passes a threshold set on held-out ordinary identifiers.
+run of ``LEAST_LENGTH`` or more key characters is a secret when its
+log-likelihood ratio per character passes a threshold set on held-out ordinary
+identifiers.  Where a whole run does not pass, as a key behind a path does not,
+its parts between ``/ = _ -`` are judged by themselves.
 
 Training reads a bounded sample: the ``SAMPLE`` documents of smallest hash
 give the words, and ``RANDOM`` random strings are made.  Scoring covers every
@@ -19,10 +21,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import sample_documents, stage
-from feedloom.llm.spans import Kind, per_document, scan
+from feedloom.llm.common import bound, running, sample_documents, stage
+from feedloom.llm.spans import Kind, apart, digest, scan
 
 SAMPLE, RANDOM = 500, 4000
+#: Characters of the shortest run, or part of a run, that is judged.
+LEAST_LENGTH = 20
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Ordinary identifiers held out that may pass, as a share; the least ratio per character.
 PASS, LEAST = 0.001, 0.5
@@ -32,17 +36,16 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?+\x20*+[:=]\x20*+["'
 ACCESS = r"AKIA[A-Z0-9]++"
 #: Whole runs only: shorter ones fail the count.
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_LENGTH},}}+"
 
 NAMES = ["assign", "access", "hex", "random"]
 BASE = 3
 
 
 def _kinds() -> list[Kind]:
-    match = F.col("match")
     return [
-        Kind("assign", ASSIGN, "text rlike '[:=]'", F.length(F.regexp_extract(match, ASSIGN, 1)) >= 8),
-        Kind("access", ACCESS, "contains(text, 'AKIA')", F.length(match) >= 16),
+        Kind("assign", ASSIGN, "text rlike '[:=]'", lambda m: F.length(F.regexp_extract(m, ASSIGN, 1)) >= 8),
+        Kind("access", ACCESS, "contains(text, 'AKIA')", lambda m: F.length(m) >= 16),
         Kind("hex", HEX, "true"),
         Kind("random", TOKEN, "true"),
     ]
@@ -105,9 +108,27 @@ def ratio(token: Column, ratios: list[float]) -> Column:
     size = len(ALPHABET)
     table = F.from_json(F.lit(json.dumps([round(x, 6) for x in ratios])), "array<double>")
     at = lambda c: F.instr(F.lit(ALPHABET), c) - 1
-    codes = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), at)
-    steps = F.zip_with(codes, F.slice(codes, 2, F.length(token)), lambda a, b: F.when(b.isNull() | (a < 0) | (b < 0), F.lit(0.0)).otherwise(F.get(table, a * size + b)))
-    return F.aggregate(steps, F.lit(0.0), lambda s, x: s + x) / F.greatest(F.lit(1), F.length(token) - 1)
+
+    def mean(codes: Column) -> Column:
+        steps = F.zip_with(codes, F.slice(codes, 2, F.size(codes)), lambda a, b: F.when(b.isNull() | (a < 0) | (b < 0), F.lit(0.0)).otherwise(F.get(table, a * size + b)))
+        return F.aggregate(steps, F.lit(0.0), lambda s, x: s + x) / F.greatest(F.lit(1), F.size(codes) - 1)
+
+    return bound(F.transform(F.filter(F.split(token, ""), lambda c: c != ""), at), mean)
+
+
+def random_parts(run: Column, ratios: list[float], least: float) -> Column:
+    """Spans ``kind, start, end`` of a run (a struct with ``start, end, match``): itself where it passes, else its parts that do."""
+    passes = lambda c: ratio(c, ratios) >= least
+    span = lambda a, b: F.struct(F.lit(BASE).alias("kind"), a.alias("start"), b.alias("end"))
+    pieces = F.regexp_extract_all(run["match"], F.lit(r"[/=_-]++|[A-Za-z0-9+]++"), F.lit(0))
+
+    def parts(p: Column) -> Column:
+        ends = running(F.transform(p, lambda x: F.length(x).cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
+        rows = F.zip_with(p, ends, lambda x, end: F.struct(x.alias("x"), (run["start"] + end).alias("end")))
+        good = F.filter(rows, lambda r: (F.length(r["x"]) >= LEAST_LENGTH) & F.when(F.length(r["x"]) >= LEAST_LENGTH, passes(r["x"])).otherwise(F.lit(False)))
+        return F.transform(good, lambda r: span(r["end"] - F.length(r["x"]), r["end"]))
+
+    return F.when(passes(run["match"]), F.array(span(run["start"], run["end"]))).otherwise(bound(pieces, parts))
 
 
 def train(docs: DataFrame) -> tuple[list[float], float]:
@@ -129,7 +150,6 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
     table gives no rows; other columns are not read.
     """
     ratios, least = train(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))) if model is None else model
-    found = stage(scan(docs, _kinds(), id_col, text_col), "spans")
-    tokens = found.filter(f"kind = {BASE}")
-    extra = tokens.filter(ratio(F.col("match"), ratios) >= least).select("uid", "doc_id", "kind", "start", "end")
-    return per_document(found, extra, NAMES, BASE, by_kind=False)
+    found = scan(docs, _kinds(), BASE, id_col, text_col)
+    extra = F.flatten(F.transform("more", lambda r: random_parts(r, ratios, least)))
+    return digest(found.select("doc_id", "own", apart(extra, F.col("own")).alias("added")), NAMES, BASE, by_kind=False)

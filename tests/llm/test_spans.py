@@ -111,3 +111,61 @@ def test_random_strings_are_told_from_identifiers(spark, tables):
     planted = docs.limit(5).withColumn("text", F.concat("text", F.lit(" key "), F.lit(keys[0])))
     for r in secrets.find(planted, model=(ratios, least)).collect():
         assert "random:" in r["spans"]
+
+
+def test_contexts_have_no_length_limits(spark):
+    """Identifiers of any length and lead, behind any number of blanks, are found whole."""
+    rng = random.Random(7)
+    rows = [(i, f"it was long. Member contact: user{rng.randrange(10**6)}@mail.org and so on") for i in range(60)]
+    long, lead = "7" + "q-" * 60 + "z", "k" * 50 + "31"
+    rows += [(100, f"it was long. Member contact: {long} and"), (101, f"it was long. Member contact: {lead} and"), (102, "it was long. Member contact:     AB-12 and")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows[60:]:
+        found = [text[int(a) : int(b)] for k, a, b in (x.split(":") for x in got[i].split(",")) if k == "context"]
+        assert found == [{100: long, 101: lead, 102: "AB-12"}[i]]
+
+
+def test_cues_are_counted_alike_beyond_a_broadcast(spark):
+    docs = spark.createDataFrame([(1, "call me at: 5 call me"), (2, None), (3, "call:7 Me at")], "doc_id long, text string")
+    cues = spark.createDataFrame([("call",), ("call me",), ("me at",), ("none",)], "cue string")
+    small, large = (sorted(map(tuple, pii.cue_counts(docs, cues, limit=n).collect())) for n in (10, 1))
+    assert small == large == [("call", 3), ("call me", 2), ("me at", 2)]
+
+
+def test_running_and_apart(spark):
+    """Against plain Python, over several blocks."""
+    from pyspark.sql import functions as F
+
+    from feedloom.llm.common import running
+    from feedloom.llm.spans import apart
+
+    rng = random.Random(3)
+    rows = []
+    for n, m in ((0, 0), (1, 0), (0, 2), (5, 3), (64, 1), (65, 40), (700, 300)):
+        span = lambda: (lambda a: (a, a + rng.randrange(1, 9)))(rng.randrange(2000))
+        rows.append(([span() for _ in range(n)], [span() for _ in range(m)]))
+    df = spark.createDataFrame(rows, "a array<struct<start:bigint,end:bigint>>, b array<struct<start:bigint,end:bigint>>")
+    sums = running(F.transform("a", lambda x: x["start"]), F.lit(0).cast("long"), lambda x, y: x + y, 8)
+    for r in df.select("a", "b", sums.alias("s"), apart(F.col("a"), F.col("b")).alias("c")).collect():
+        starts = [x["start"] for x in r["a"]]
+        assert r["s"] == [sum(starts[: i + 1]) for i in range(len(starts))]
+        want = sorted(tuple(x) for x in r["a"] if not any(y["start"] < x["end"] and y["end"] > x["start"] for y in r["b"]))
+        assert sorted(map(tuple, r["c"])) == want
+
+
+def test_ratio_is_the_plain_mean_and_parts_are_judged(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    abc = secrets.ALPHABET
+    table = [rng.uniform(-3, 3) for _ in range(len(abc) ** 2)]
+    tokens = ["".join(rng.choice(abc) for _ in range(n)) for n in (2, 20, 75)]
+    for r in spark.createDataFrame([(t,) for t in tokens], "t string").select("t", secrets.ratio(F.col("t"), table).alias("r")).collect():
+        pairs = [round(table[abc.index(a) * len(abc) + abc.index(b)], 6) for a, b in zip(r["t"], r["t"][1:])]
+        assert abs(r["r"] - sum(pairs) / len(pairs)) < 1e-9
+    # a model under which digits are random and letters are not
+    plain = [1.0 if a.isdigit() and b.isdigit() else -1.0 for a in abc for b in abc]
+    text = "see static/images/backgrounds/ordinary-names/" + "3141592653589793238462" + " and " + "a" * 30
+    got = secrets.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), model=(plain, 0.5)).collect()[0]["spans"]
+    (span,) = [x.split(":") for x in got.split(",") if x.startswith("random")]
+    assert text[int(span[1]) : int(span[2])] == "3141592653589793238462"
