@@ -1,15 +1,19 @@
 """Quality rules whose cutoffs come with a bound on false rejection.
 
 A rule rejects a document when its risk value exceeds the cutoff of the
-document's stratum.  Cutoffs are chosen on labelled documents: over a fixed
-grid, from the loosest cutoff to the strictest, an exact binomial test asks
-whether the share of good documents rejected is shown to be at most ``risk``;
-the walk stops at the first cutoff that fails (fixed-sequence testing), so the
-grid itself needs no correction.  The confidence is shared among all rules and
-strata (Bonferroni) and the risk among the rules, so in each stratum all rules
-together reject at most ``RISK`` of good documents with confidence
-``1 - DOUBT``, for all strata at once.  A stratum with too few labels to show
-it has no cutoff and its documents pass.
+document's stratum.  Cutoffs are chosen on labelled documents, which a hash of
+the id splits in two.  One half draws a path for each stratum: a list of
+settings of all rules, each at least as strict as the one before.  The rules
+come in one by one, those that reject most bad documents first, with cutoffs
+``MARGINS[0]`` grid points looser than the strictest that rejects no good
+document of that half; then all margins shrink, then the shares in ``LADDER``
+may be rejected.  The other half walks the path: at each setting an exact
+binomial test asks whether the share of good documents that *any* rule rejects
+is shown to be at most ``RISK``.  The walk stops at the first setting that
+fails (fixed-sequence testing), so a stratum costs one test, and the doubt is
+shared among the strata (Bonferroni): with confidence ``1 - DOUBT`` no stratum
+rejects more than ``RISK`` of its good documents.  A stratum with too few
+labels to show it has no cutoff and its documents pass.
 """
 
 from __future__ import annotations
@@ -25,7 +29,9 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import broadcast_checked, lookup, stage
 
-RISK, DOUBT = 0.01, 0.05
+RISK, DOUBT = 0.03, 0.05
+#: Grid points between a rule's cutoff and the strictest one that rejects no good document; then the shares of them that may be rejected.
+MARGINS, LADDER = (2, 1, 0), (0.001, 0.002)
 SYMBOLS = b"#*$%&|<>"
 #: Cutoffs of each rule, ascending: the grid is stated, not fitted.
 GRID = {
@@ -126,40 +132,81 @@ def at_most(k: int, n: int, p: float) -> float:
     return math.exp(top) * sum(math.exp(x - top) for x in logs)
 
 
-def cutoffs(good: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
+def settings(good: list[list[int]], bad: list[list[int]], grid: list[list[float]]) -> list[list[float | None]]:
+    """The path of one stratum: settings of all rules, from the loosest to the strictest.
+
+    ``good`` and ``bad`` hold, for each rule, the numbers of documents that
+    exceed exactly ``i`` of its cutoffs.
+    """
+
+    def strictest(i: int, share: float) -> int | None:
+        """Number of the lowest cutoff that rejects at most that share of the good documents."""
+        most, over = share * sum(good[i]), 0
+        for j in range(len(grid[i]) - 1, -1, -1):
+            over += good[i][j + 1]
+            if over > most:
+                return j + 1 if j + 1 < len(grid[i]) else None
+        return 0
+
+    def at(i: int, j: int | None) -> float | None:
+        return None if j is None or j >= len(grid[i]) else grid[i][j]
+
+    base = [strictest(i, 0.0) for i in range(len(grid))]
+    loose = [None if j is None else j + MARGINS[0] for j in base]
+    gain = [0 if j is None or j >= len(grid[i]) else sum(bad[i][j + 1 :]) for i, j in enumerate(loose)]
+    order = sorted((i for i in range(len(grid)) if gain[i] > 0), key=lambda i: (-gain[i], i))
+    path = [[at(i, loose[i]) if i in order[:k] else None for i in range(len(grid))] for k in range(1, len(order) + 1)]
+    for margin in MARGINS[1:]:
+        path.append([at(i, None if base[i] is None else base[i] + margin) if i in order else None for i in range(len(grid))])
+    for share in LADDER:
+        path.append([at(i, strictest(i, share)) if i in order else None for i in range(len(grid))])
+    return path if order else []
+
+
+def cutoffs(marked: DataFrame, risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
     """``stratum, cutoffs``: an array in the order of ``RULES``, null where no cutoff is shown safe.
 
-    ``good``: measured documents labelled good.
+    ``marked``: measured documents with ``good``.  Only counts over the grid
+    leave the tasks; a stratum's counts are at most rules x grid x 2 rows.
     """
-    above = [
-        F.struct(F.lit(i).alias("rule"), sum(((F.col(r) > F.lit(g)).cast("int") for g in GRID[r]), F.lit(0)).alias("over"))
-        for i, r in enumerate(RULES)
-    ]
-    counts = stage(good.select("stratum", F.explode(F.array(*above)).alias("x")).groupBy("stratum", "x.rule", "x.over").agg(F.count("*").alias("n")), "counts")
-    strata = max(1, counts.select("stratum").distinct().count())
-    share, level = risk / len(RULES), doubt / (len(RULES) * strata)
+    rows = marked.withColumn("half", F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(2)))
+    over = [F.struct(F.lit(i).alias("rule"), sum(((F.col(r) > F.lit(g)).cast("int") for g in GRID[r]), F.lit(0)).alias("over")) for i, r in enumerate(RULES)]
+    first = rows.filter("half = 0").select("stratum", "good", F.explode(F.array(*over)).alias("x"))
+    counts = stage(first.groupBy("stratum", "good", "x.rule", "x.over").agg(F.count("*").alias("n")), "counts")
     grid = [GRID[r] for r in RULES]
 
-    def walk(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
-        """One stratum: at most rules x grid rows."""
-        out: list[float | None] = []
-        for i, cuts in enumerate(grid):
-            own = found[found["rule"] == i]
-            total, best = int(own["n"].sum()), None
-            for j in range(len(cuts) - 1, -1, -1):
-                if at_most(int(own.loc[own["over"] > j, "n"].sum()), total, share) > level:
-                    break
-                best = cuts[j]
-            out.append(best)
-        return pd.DataFrame({"stratum": [key[0]], "cutoffs": [out]})
+    def draw(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        tables = [[[0] * (len(cuts) + 1) for cuts in grid] for _ in range(2)]
+        for r in found.itertuples():
+            tables[int(r.good)][r.rule][r.over] = int(r.n)
+        return pd.DataFrame({"stratum": [key[0]], "path": [settings(tables[1], tables[0], grid)]})
+
+    paths = stage(counts.groupBy("stratum").applyInPandas(draw, "stratum string, path array<array<double>>"), "paths")
+    values = F.array(*RULES)
+    rejects = lambda cuts: F.exists(F.zip_with(cuts, values, lambda c, v: F.coalesce(v > c, F.lit(False))), lambda x: x)
+    second = lookup(rows.filter("half = 1 and good"), broadcast_checked(paths), ["stratum"], "inner")
+    # the settings get stricter, so the first one that rejects a document says all
+    loose = F.size(F.filter("path", lambda cuts: ~rejects(cuts)))
+    tested = stage(second.groupBy("stratum", loose.alias("survives")).agg(F.count("*").alias("n")), "tested")
+    level = doubt / max(1, paths.count())
+
+    def walk(key: tuple, path: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        settled: list[float | None] = [None] * len(grid)
+        total = int(found["n"].sum())
+        for t, cuts in enumerate(path["path"].iloc[0]):
+            if at_most(int(found.loc[found["survives"] <= t, "n"].sum()), total, risk) > level:
+                break
+            settled = [None if c is None or c != c else float(c) for c in cuts]
+        return pd.DataFrame({"stratum": [key[0]], "cutoffs": [settled]})
 
-    return counts.groupBy("stratum").applyInPandas(walk, "stratum string, cutoffs array<double>")
+    name = F.coalesce("stratum", F.lit("")), F.col("stratum").isNull()  # a null stratum meets itself
+    return paths.groupBy(name[0], name[1]).cogroup(tested.groupBy(name[0], name[1])).applyInPandas(lambda key, a, b: walk((None if key[1] else key[0],), a, b), "stratum string, cutoffs array<double>")
 
 
-def good_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Measured rows whose id is labelled good (by its largest label)."""
-    marks = labels.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("q")).filter("q = 1")
-    return rows.join(marks, rows["doc_id"] == marks["_id"], "left_semi")
+def marked_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Measured rows that are labelled, with ``good`` (by their largest label)."""
+    marks = labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").alias("_id")).agg((F.max("quality") == 1).alias("good"))
+    return rows.join(marks, rows["doc_id"] == marks["_id"]).drop("_id")
 
 
 def verdicts(rows: DataFrame, limits: DataFrame) -> DataFrame:
@@ -180,4 +227,4 @@ def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     table gives no rows.
     """
     rows = stage(measured(docs), "measures")
-    return verdicts(rows, stage(cutoffs(good_rows(rows, labels)), "cutoffs"))
+    return verdicts(rows, stage(cutoffs(marked_rows(rows, labels)), "cutoffs"))

@@ -40,20 +40,75 @@ def test_binomial_tail():
         assert quality_rules.at_most(k, n, p) == pytest.approx(sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)))
 
 
-def test_cutoffs_bound_false_rejection_per_stratum(spark):
-    """Known risk values: the chosen cutoff is the strictest one shown safe, and a small stratum gets none."""
-    rows = [("big", *(min(i / 60_000, 0.5) if r == "symbol_share" else -99.0 for r in quality_rules.RULES)) for i in range(30_000)]
-    rows += [("small", *(0.0 for _ in quality_rules.RULES)) for _ in range(50)] + [(None, *(0.0 for _ in quality_rules.RULES)) for _ in range(50)]
-    good = spark.createDataFrame(rows, "stratum string, " + ", ".join(f"{r} double" for r in quality_rules.RULES))
-    got = {r["stratum"]: r["cutoffs"] for r in quality_rules.cutoffs(good).collect()}
-    assert got["small"] == [None] * len(quality_rules.RULES) and got[None] == got["small"]
-    share, level = quality_rules.RISK / len(quality_rules.RULES), quality_rules.DOUBT / (3 * len(quality_rules.RULES))
-    safe = []
-    for cut in sorted(quality_rules.GRID["symbol_share"], reverse=True):
-        if quality_rules.at_most(sum(r[1] > cut for r in rows[:30_000]), 30_000, share) > level:
-            break
-        safe.append(cut)
-    assert got["big"][0] == (safe[-1] if safe else None)
+def plain_cutoffs(rows, half, strata):
+    """Paths and walks by loops over the rows: ``(id, stratum, good, {rule: value})``."""
+    rules, grid, out = quality_rules.RULES, quality_rules.GRID, {}
+    for stratum in strata:
+        mine = [r for r in rows if r[1] == stratum]
+        one, two = ([r for r in mine if half[r[0]] == h] for h in (0, 1))
+        good, bad = [r for r in one if r[2]], [r for r in one if not r[2]]
+
+        def lowest(rule, most):
+            able = [c for c in grid[rule] if sum(r[3][rule] > c for r in good) <= most * len(good)]
+            return min(able) if able else None
+
+        def looser(rule, k):
+            c = lowest(rule, 0.0)
+            at = len(grid[rule]) if c is None else grid[rule].index(c) + k
+            return grid[rule][at] if at < len(grid[rule]) else None
+
+        gain = {r: sum(x[3][r] > looser(r, 2) for x in bad) if looser(r, 2) is not None else 0 for r in rules}
+        order = sorted((r for r in rules if gain[r]), key=lambda r: (-gain[r], rules.index(r)))
+        path = [{r: looser(r, 2) for r in order[: k + 1]} for k in range(len(order))]
+        path += [{r: looser(r, k) for r in order} for k in (1, 0)] + [{r: lowest(r, e) for r in order} for e in quality_rules.LADDER]
+        tested, chosen = [r for r in two if r[2]], {}
+        for cuts in path if order else []:
+            wrong = sum(any(c is not None and r[3][k] > c for k, c in cuts.items()) for r in tested)
+            if quality_rules.at_most(wrong, len(tested), quality_rules.RISK) > quality_rules.DOUBT / len(strata):
+                break
+            chosen = cuts
+        out[stratum] = [chosen.get(r) for r in rules]
+    return out
+
+
+def test_cutoffs_equal_plain_ones_and_hold_on_new_documents(spark):
+    rng = random.Random(8)
+    rules = quality_rules.RULES
+    low = lambda r: {"long_words": rng.gauss(7, 0.3), "short_words": -rng.gauss(5, 0.2), "capital_share": abs(rng.gauss(0.03, 0.01))}.get(r, abs(rng.gauss(0, 0.004)))
+    rows = []
+    for i in range(6000):
+        stratum, good = ("big", None, "small")[0 if i % 10 < 7 else 1 if i % 10 < 9 else 2 if i < 300 else 0], i % 3 > 0
+        value = {r: low(r) for r in rules}
+        if not good:
+            value |= {"symbol_share": rng.uniform(0, 0.4), "adjacent_share": rng.uniform(0, 0.2)}
+        rows.append((i, stratum, good, value))
+    schema = "doc_id long, stratum string, good boolean, " + ", ".join(f"{r} double" for r in rules)
+    df = spark.createDataFrame([(i, s, g, *v.values()) for i, s, g, v in rows], schema)
+    half = {r[0]: r[1] for r in df.select("doc_id", F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(2))).collect()}
+    got = {r["stratum"]: r["cutoffs"] for r in quality_rules.cutoffs(df).collect()}
+    assert got == plain_cutoffs(rows, half, ["big", None, "small"])
+    assert got["small"] == [None] * len(rules) and got["big"][0] is not None and got[None][0] is not None
+    fresh = [{r: low(r) for r in rules} for _ in range(4000)]
+    for s in ("big", None):
+        assert sum(any(c is not None and v[r] > c for r, c in zip(rules, got[s], strict=True)) for v in fresh) <= quality_rules.RISK * len(fresh)
+
+
+def test_rules_reject_and_leave_held_out_good_documents(spark):
+    """At a size whose labels decide: rules reject, and good documents whose labels were not used stay."""
+    from pathlib import Path
+
+    where = Path("/root/testdata/sf0.01")
+    if not where.exists():
+        pytest.skip("no test tables")
+    docs, marks = (spark.read.parquet(f"{where}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.withColumn("lang", F.lit("all"))  # 399 labels suffice for one stratum only
+    used = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) > 0
+    rows = quality_rules.measured(docs)
+    limits = quality_rules.cutoffs(quality_rules.marked_rows(rows, marks.filter(used)))
+    got = quality_rules.verdicts(rows, limits)
+    assert got.filter("not base_failed and not kept").count() > 0
+    held = got.join(marks.filter(~used & (F.col("quality") == 1)), "doc_id").select(F.size("failed_rules").alias("n")).collect()
+    assert sum(r["n"] > 0 for r in held) <= max(2, 2 * quality_rules.RISK * len(held))
 
 
 def test_rules_on_documents(spark):
