@@ -1,36 +1,56 @@
 """Exact deduplication against a persistent, bucketed digest index.
 
-The index is a Parquet table ``(digest binary, keep_id bigint)`` bucketed and
-sorted by digest.  A new batch is reduced to one row per digest (map-side
-combined, so a text copied a billion times shuffles one row per task), then
-sort-merge anti-joined with the index, whose side needs no shuffle, and the
-digests that remain are appended.
+The index is a Parquet table ``(digest binary, keep_id bigint, batch string)``
+bucketed and sorted by digest.  A new batch is reduced to one row per digest
+(map-side combined, so a text copied a billion times shuffles one row per
+task), then merged with the index, whose side needs no shuffle, in one
+sort-merge join: digests without a partner are new (the anti-join) and are
+appended, the others name the id that was indexed.
+
+A batch has a name.  Entries of the same name count as new, and what is there
+already is not appended again, so a batch that was lost after its append can
+be run again and gives the same rows.
+
+The number of buckets comes from the size expected, ``BUCKET_ROWS`` digests to
+a bucket; :meth:`DigestIndex.compact` writes the index anew, one sorted file
+per bucket, with as many buckets as it needs by then.
 
 Defined cases: a null text counts as the empty text; a null id never wins over
 another id; rows that repeat both id and text share one verdict and count in
 ``group_size``; an empty batch gives no rows; further columns are ignored by
-:func:`dedup_batch` and carried by :func:`distinct_documents`.
+:func:`dedup_batch` and carried by :func:`distinct_documents`, whatever their
+names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import keep_rows, lookup, shared_dir, stage, text_or_empty
 
+#: Digests of a bucket (some 60 bytes each, sorted in one task), and the least number of buckets.
+BUCKET_ROWS, LEAST_BUCKETS = 4_000_000, 16
+
+
+def buckets_for(rows: int) -> int:
+    """The power of two that holds ``rows`` digests with room to double."""
+    need = max(LEAST_BUCKETS, 2 * rows // BUCKET_ROWS)
+    return 1 << (need - 1).bit_length()
+
 
 class DigestIndex:
     """A digest table at ``location`` that outlives the session."""
 
-    def __init__(self, spark: SparkSession, location: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, location: str, buckets: int = LEAST_BUCKETS):
         self.spark, self.location = spark, location
         self.buckets = buckets
         self.table = "feedloom_digests_" + hashlib.sha256(location.encode()).hexdigest()[:16]
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{location}'"
         )
 
@@ -40,7 +60,7 @@ class DigestIndex:
     def append(self, rows: DataFrame) -> None:
         """One file per bucket and batch, each sorted by digest."""
         (
-            rows.select("digest", "keep_id")
+            rows.select("digest", "keep_id", "batch")
             .repartition(self.buckets, "digest")
             .write.mode("append")
             .bucketBy(self.buckets, "digest")
@@ -50,51 +70,60 @@ class DigestIndex:
             .saveAsTable(self.table)
         )
 
+    def compact(self, location: str) -> DigestIndex:
+        """The same entries at a new ``location``: one sorted file per bucket, buckets by today's size."""
+        fresh = DigestIndex(self.spark, location, buckets_for(self.read().count()))
+        fresh.append(self.read())
+        return fresh
+
+    def close(self) -> None:
+        """Take the table out of the session's catalog; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
-def new_index(spark: SparkSession, buckets: int = 16) -> DigestIndex:
-    """An empty index in the shared folder."""
-    import uuid
 
-    return DigestIndex(spark, f"{shared_dir(spark)}/feedloom/index-{uuid.uuid4().hex}", buckets)
+def new_index(spark: SparkSession, rows: int = 0) -> DigestIndex:
+    """An empty index in the shared folder, for about ``rows`` digests."""
+    return DigestIndex(spark, f"{shared_dir(spark)}/feedloom/index-{uuid.uuid4().hex}", buckets_for(rows))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text_or_empty(text_col), 256)).alias("digest"))
 
 
-def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
     """Add a batch to ``index``; return ``doc_id, digest, keep_id, group_size, kept``.
 
     One row per input row.  Within the batch the largest id of equal texts
-    stays; a text already in the index is dropped in favour of the indexed id.
-    ``group_size`` counts the batch's rows of that text.
+    stays; a text that an earlier batch indexed is dropped in favour of the
+    indexed id.  ``group_size`` counts the batch's rows of that text.
+    ``batch``: the name under which it may be run again; new where absent.
     """
-    batch = stage(digests(docs, id_col, text_col), "digests")
-    groups = stage(batch.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
-    known = index.read()
-    fresh = groups.join(known.select("digest").hint("merge"), "digest", "left_anti").withColumn("fresh", F.lit(True))
-    seen = (
-        groups.drop("keep_id")
-        .join(known.hint("merge"), "digest")
-        .select("digest", "keep_id", "group_size", F.lit(False).alias("fresh"))
-    )
-    decided = stage(fresh.unionByName(seen), "decided")
-    index.append(decided.filter("fresh"))
-    return lookup(batch, decided, ["digest"], "inner").select(
+    name = batch or uuid.uuid4().hex
+    rows = stage(digests(docs, id_col, text_col), "digests")
+    groups = stage(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    known = index.read().select("digest", F.col("keep_id").alias("_known"), F.col("batch").alias("_batch"))
+    met = groups.join(known.hint("merge"), "digest", "left")
+    fresh = F.col("_batch").isNull() | (F.col("_batch") == name)
+    decided = met.select("digest", F.when(fresh, F.col("keep_id")).otherwise(F.col("_known")).alias("keep_id"), "group_size", fresh.alias("fresh"), F.col("_batch").isNull().alias("missing"))
+    decided = stage(decided, "decided")
+    index.append(decided.filter("missing").withColumn("batch", F.lit(name)))
+    return lookup(rows, decided.drop("missing"), ["digest"], "inner").select(
         "doc_id", "digest", "keep_id", "group_size", (F.col("fresh") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept")
     )
 
 
-def distinct_documents(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def distinct_documents(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that :func:`dedup_batch` keeps, with all their columns.
 
     Rows that repeat the kept row's id and text come out once.
     """
-    kept = stage(dedup_batch(docs, index, id_col, text_col).filter("kept").select("doc_id", "digest"), "kept")
+    kept = stage(dedup_batch(docs, index, id_col, text_col, batch).filter("kept").select("doc_id", "digest"), "kept")
     repeats = kept.groupBy("digest").count().filter("count > 1").limit(1).count() > 0
-    hashed = docs.withColumns({"_f_id": F.col(id_col), "_f_digest": F.unhex(F.sha2(text_or_empty(text_col), 256))})
-    ids = kept.select(F.col("doc_id").alias("_f_id"), F.col("digest").alias("_f_digest"))
-    out = keep_rows(hashed, ids.distinct() if repeats else ids, ["_f_id", "_f_digest"])
+    free = next(f"_f{i}" for i in range(len(docs.columns) + 1) if not any(c.lower().startswith(f"_f{i}_") for c in docs.columns))
+    own_id, own_digest = f"{free}_id", f"{free}_digest"
+    hashed = docs.withColumns({own_id: F.col(id_col), own_digest: F.unhex(F.sha2(text_or_empty(text_col), 256))})
+    ids = kept.select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest))
+    out = keep_rows(hashed, ids.distinct() if repeats else ids, [own_id, own_digest])
     if repeats:
-        out = out.dropDuplicates(["_f_id", "_f_digest"])
-    return out.drop("_f_id", "_f_digest")
+        out = out.dropDuplicates([own_id, own_digest])
+    return out.drop(own_id, own_digest)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import stage
+from feedloom.llm.common import broadcast_checked, stage
 
 THRESHOLD = 0.7
 #: Share of the pooled covariance in a class's, then of the identity.
@@ -189,8 +189,16 @@ def training_rows(feats: DataFrame, labels: DataFrame) -> DataFrame:
     return usable.join(marks, usable["doc_id"] == marks["_id"]).select("label", *STATISTICS)
 
 
+def train_on_labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """The model, from the texts of the labelled rows alone: other texts are not measured."""
+    ids = labels.filter("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").alias("_id")).distinct()
+    few = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    few = few.join(broadcast_checked(stage(ids, "ids")), few["doc_id"] == F.col("_id"), "left_semi")
+    return fit(stage(training_rows(features(few), labels), "training"))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the staged statistics of all documents."""
+    """The model, and the staged statistics of all documents, for a caller that scores them too."""
     feats = stage(features(docs), "statistics")
     return fit(stage(training_rows(feats, labels), "training")), feats
 
@@ -198,8 +206,11 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
 def scores(feats: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row of statistics.
 
-    Defined cases: null and empty texts are scored as empty texts; repeated
-    rows repeat; an empty table gives no rows.
+    Ids are cast to long, so they must be integers.  Defined cases: null and
+    empty texts are scored as empty texts; a null id is scored and is not held
+    out; labels of a null id, and null labels, are not learnt; equal scores are
+    no ties to break; repeated rows repeat; an empty table gives no rows; other
+    columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

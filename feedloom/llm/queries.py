@@ -39,7 +39,10 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = exact_dedup.dedup_batch(documents(spark, sf_dir), exact_dedup.new_index(spark))
+    docs = documents(spark, sf_dir)
+    index = exact_dedup.new_index(spark, docs.count())
+    found = exact_dedup.dedup_batch(docs, index)
+    index.close()
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

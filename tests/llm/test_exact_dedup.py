@@ -33,3 +33,33 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], ROWS)
     assert exact_dedup.dedup_batch(docs, exact_dedup.new_index(spark)).count() == 0
     assert exact_dedup.distinct_documents(docs, exact_dedup.new_index(spark)).count() == 0
+
+
+def test_a_batch_runs_again_with_the_same_rows(spark):
+    """As after a driver lost between the append and the caller's write."""
+    index = exact_dedup.new_index(spark)
+    exact_dedup.dedup_batch(spark.createDataFrame([(1, "a")], "doc_id long, text string"), index, batch="one").collect()
+    second = spark.createDataFrame([(5, "a"), (6, "b"), (7, "b"), (None, "c")], "doc_id long, text string")
+    runs = [sorted(map(tuple, exact_dedup.dedup_batch(second, index, batch="two").collect()), key=str) for _ in range(2)]
+    assert runs[0] == runs[1] and sum(r[4] for r in runs[0]) == 2
+    assert index.read().count() == 3
+    assert not any(r["kept"] for r in exact_dedup.dedup_batch(second, index, batch="three").collect())
+    kept = [sorted(map(tuple, exact_dedup.distinct_documents(second, index, batch="two").collect()), key=str) for _ in range(2)]
+    assert kept[0] == kept[1] == [(7, "b"), (None, "c")]
+
+
+def test_compaction_keeps_entries_and_sizes_buckets(spark):
+    index = exact_dedup.new_index(spark)
+    for i in range(3):
+        exact_dedup.dedup_batch(spark.createDataFrame([(i, f"t{i}"), (9, "same")], "doc_id long, text string"), index).collect()
+    small = index.compact(index.location + "-2")
+    assert sorted(map(tuple, small.read().collect())) == sorted(map(tuple, index.read().collect()))
+    index.close()
+    assert not exact_dedup.dedup_batch(spark.createDataFrame([(4, "t1")], "doc_id long, text string"), small).collect()[0]["kept"]
+    assert [exact_dedup.buckets_for(n) for n in (0, 40_000_000, 10**10)] == [16, 32, 8192]
+
+
+def test_columns_with_the_operators_own_names_stay(spark):
+    docs = spark.createDataFrame([(1, "a", 5, "x", 7), (2, "a", 6, "y", 8)], "doc_id long, text string, _f_id int, _f0_digest string, fresh int")
+    got = exact_dedup.distinct_documents(docs, exact_dedup.new_index(spark))
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [(2, "a", 6, "y", 8)]

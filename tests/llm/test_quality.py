@@ -134,6 +134,38 @@ def test_classifier_on_held_out_rows(spark, tables):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["predicted"]}
 
 
+def test_scores_are_those_of_a_plain_discriminant(spark, tables):
+    """Log densities by determinants and inverse matrices, the calibration aside."""
+    import numpy as np
+
+    docs, marks = (spark.read.parquet(f"{tables}/{t}.parquet") for t in ("documents", "labels"))
+    model, feats = qda.train(docs, marks)
+    rows = {r["doc_id"]: [r[c] for c in qda.STATISTICS] for r in feats.collect()}
+    quality = {r["doc_id"]: r["quality"] for r in marks.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    x = [np.array([rows[i] for i, q in quality.items() if q == k]) for k in (0, 1)]
+    cov = [np.cov(a, rowvar=False, bias=True) for a in x]
+    pooled = sum(len(a) * c for a, c in zip(x, cov, strict=True)) / sum(map(len, x))
+    scale = np.sqrt(np.maximum(np.diag(pooled), 1e-8))
+    shrunk = [(1 - qda.TO_IDENTITY) * ((1 - qda.TO_POOLED) * c + qda.TO_POOLED * pooled) / np.outer(scale, scale) + qda.TO_IDENTITY * np.eye(len(scale)) for c in cov]
+
+    def density(v, k):
+        d = (v - x[k].mean(axis=0)) / scale
+        return -0.5 * (d @ np.linalg.inv(shrunk[k]) @ d + np.linalg.slogdet(shrunk[k])[1])
+
+    for r in qda.scores(feats, model).collect():
+        v = np.array(rows[r["doc_id"]])
+        margin = np.arcsinh(density(v, 1) - density(v, 0))
+        assert abs(1 / (1 + np.exp(-(model.slope * margin + model.offset))) - r["score"]) < 1e-6
+
+
+def test_training_on_labelled_rows_alone_gives_the_same_model(spark, tables):
+    import numpy as np
+
+    docs, marks = (spark.read.parquet(f"{tables}/{t}.parquet") for t in ("documents", "labels"))
+    one, two = qda.train(docs, marks)[0], qda.train_on_labelled(docs, marks)
+    assert np.allclose(one.means, two.means) and np.allclose(one.roots, two.roots) and abs(one.slope - two.slope) < 1e-6
+
+
 def test_labels_of_held_out_rows_are_not_learnt(spark, tables):
     docs, marks = (spark.read.parquet(f"{tables}/{t}.parquet") for t in ("documents", "labels"))
     flipped = marks.withColumn("quality", F.when(qda.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
