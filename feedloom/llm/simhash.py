@@ -3,20 +3,23 @@
 Fingerprint: bit ``i`` is set when more than half of a document's shingle
 hashes have it.  Links: fingerprints at most two bits apart.
 
-Covering: bits 0-22 and bits 23-45 are each covered by the perfect binary
-Golay code (every 23-bit word is within 3 bits of exactly one codeword), so
-the anchors are the 2^24 pairs of codewords.  A fingerprint's home is the pair
-nearest to it.  For a link x-y with t1 and t2 differing bits in the two parts,
-home(x) lies within 3 + t1 and 3 + t2 of y, so y is replicated to every anchor
-within covering radius plus threshold, counted per part: about 61 anchors.
-Fingerprints are compared with the homes of their anchor only; no pair of a
-group is ever emitted unless it is a link.
-
-An anchor that is home to more than ``HOMES`` distinct fingerprints is not
-compared directly.  Every fingerprint replicated to it goes, once, through an
-exact linear route: it is keyed by itself and by its 64 one-bit variants; two
-fingerprints are within two bits exactly if they share such a key.  No more
-than 65 distinct fingerprints can share one, so that route has no hot key.
+Covering: all 64 bits are covered by perfect codes, part by part.  Bits 0-22 and
+23-45 by the binary Golay code (every word is within 3 bits of exactly one
+codeword), bits 46-60 by the Hamming code of length 15 (within 1 bit), bits
+61-63 by themselves.  The anchors are the 2^38 tuples of codewords; a
+fingerprint's home is the tuple nearest to it.  For a link x-y with t_p
+differing bits in part p, home(x) lies within radius + t_p of y in each part,
+so y is replicated to every anchor within covering radius plus threshold,
+counted per part: about 204 anchors, however large the corpus.  Fingerprints
+are compared with the homes of their anchor only; no pair of a group is ever
+emitted unless it is a link.
+
+An anchor that is home to more than ``HOMES`` distinct fingerprints, as only a
+crowd of near copies gives it, is not compared directly.  Every fingerprint
+replicated to it goes, once, through an exact linear route: it is keyed by
+itself and by its 64 one-bit variants; two fingerprints are within two bits
+exactly if they share such a key.  No more than 65 distinct fingerprints can
+share one, so that route has no hot key.
 
 Copies of a text share one fingerprint and are collapsed before replication.
 """
@@ -24,8 +27,9 @@ Copies of a text share one fingerprint and are collapsed before replication.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +48,8 @@ SHINGLE = 3
 HOMES = 128
 #: Generator polynomial of the binary Golay code of length 23.
 GOLAY = 0b110001110101
-_MASK = (1 << 23) - 1
+#: Differing bits of a link.
+THRESHOLD = 2
 
 
 def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int:
@@ -71,83 +76,105 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got)], names=["doc_id", "fp"])
 
 
-@lru_cache(maxsize=1)
-def _cosets() -> tuple[list[int], list[list[np.ndarray]]]:
-    """Syndromes of single bits; per syndrome the error words of weight <=3, 4 and 5."""
-    bits = []
-    for i in range(23):
-        v = 1 << i
-        for b in range(22, 10, -1):
-            if v >> b & 1:
-                v ^= GOLAY << (b - 11)
-        bits.append(v)
-    found: list[list[list[int]]] = [[[] for _ in range(3)] for _ in range(2048)]
-    for weight in range(6):
-        for at in combinations(range(23), weight):
+@dataclass(frozen=True)
+class Part:
+    """A perfect code over ``width`` bits from ``shift`` on.
+
+    ``bits``: the syndrome of each single bit.  ``flat``: for each excess over
+    the covering radius, start, count and values of the error words by syndrome.
+    """
+
+    shift: int
+    width: int
+    bits: list[int]
+    flat: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+    def word(self, fps: np.ndarray) -> np.ndarray:
+        return (fps >> np.uint64(self.shift) & np.uint64((1 << self.width) - 1)).astype(np.int64)
+
+    def syndrome(self, v: np.ndarray) -> np.ndarray:
+        s = np.zeros(len(v), dtype=np.int64)
+        for i, bit in enumerate(self.bits):
+            if bit:
+                s ^= np.where(v >> i & 1, bit, 0)
+        return s
+
+
+def _part(shift: int, bits: list[int], radius: int) -> Part:
+    size = 1 << max(bits).bit_length()
+    found: list[list[list[int]]] = [[[] for _ in range(THRESHOLD + 1)] for _ in range(size)]
+    for weight in range(radius + THRESHOLD + 1):
+        for at in combinations(range(len(bits)), weight):
             s = e = 0
             for i in at:
                 s ^= bits[i]
                 e |= 1 << i
-            found[s][max(0, weight - 3)].append(e)
-    return bits, [[np.array(x, dtype=np.int64) for x in kinds] for kinds in found]
+            found[s][max(0, weight - radius)].append(e)
+    flat = []
+    for k in range(THRESHOLD + 1):
+        count = np.array([len(x[k]) for x in found])
+        flat.append((np.concatenate([[0], np.cumsum(count)[:-1]]), count, np.array(sum((x[k] for x in found), []), dtype=np.int64)))
+    return Part(shift, len(bits), bits, flat)
 
 
 @lru_cache(maxsize=1)
-def _flat() -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each excess 0, 1, 2: start, count and values of the error words by syndrome."""
-    out = []
-    for k in range(3):
-        lists = [x[k] for x in _cosets()[1]]
-        count = np.array([len(x) for x in lists])
-        out.append((np.concatenate([[0], np.cumsum(count)[:-1]]), count, np.concatenate(lists)))
-    return out
+def parts() -> list[Part]:
+    golay = []
+    for i in range(23):
+        v = 1 << i
+        for b in range(22, 10, -1):
+            if v >> b & 1:
+                v ^= GOLAY << (b - 11)
+        golay.append(v)
+    return [_part(0, golay, 3), _part(23, golay, 3), _part(46, list(range(1, 16)), 1), _part(61, [0] * 3, 0)]
 
 
-def _syndrome(v: np.ndarray) -> np.ndarray:
-    s = np.zeros(len(v), dtype=np.int64)
-    for i, bit in enumerate(_cosets()[0]):
-        s ^= np.where(v >> i & 1, bit, 0)
-    return s
+def home(fps: np.ndarray) -> np.ndarray:
+    """The anchor nearest to each unsigned fingerprint."""
+    out = np.zeros(len(fps), dtype=np.uint64)
+    for p in parts():
+        at, _, e = p.flat[0]
+        word = p.word(fps)
+        out |= (word ^ e[at[p.syndrome(word)]]).astype(np.uint64) << np.uint64(p.shift)
+    return out
 
 
 def replicas(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row number, anchor and whether it is the home, for unsigned fingerprints."""
-    one = (fps & np.uint64(_MASK)).astype(np.int64)
-    two = (fps >> np.uint64(23) & np.uint64(_MASK)).astype(np.int64)
-    s1, s2, flat = _syndrome(one), _syndrome(two), _flat()
+    words = [p.word(fps) for p in parts()]
+    syndromes = [p.syndrome(w) for p, w in zip(parts(), words, strict=True)]
     rows, anchors, homes = [], [], []
-    for k1 in range(3):
-        for k2 in range(3 - k1):
-            (at1, n1, e1), (at2, n2, e2) = flat[k1], flat[k2]
-            count = n1[s1] * n2[s2]
-            row = np.repeat(np.arange(len(fps)), count)
-            nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-            wide = n2[s2][row]
-            c1 = one[row] ^ e1[at1[s1][row] + nth // wide]
-            c2 = two[row] ^ e2[at2[s2][row] + nth % wide]
-            rows.append(row)
-            anchors.append(c1 | c2 << 23)
-            homes.append(np.full(len(row), k1 + k2 == 0))
+    for excess in product(range(THRESHOLD + 1), repeat=len(words)):
+        if sum(excess) > THRESHOLD:
+            continue
+        tables = [p.flat[k] for p, k in zip(parts(), excess, strict=True)]
+        counts = [n[s] for (_, n, _), s in zip(tables, syndromes, strict=True)]
+        count = np.prod(counts, axis=0)
+        row = np.repeat(np.arange(len(fps)), count)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        anchor = np.zeros(len(row), dtype=np.uint64)
+        for p, (at, _, e), n, s, w in zip(parts(), tables, counts, syndromes, words, strict=True):
+            anchor |= (w[row] ^ e[at[s][row] + nth % n[row]]).astype(np.uint64) << np.uint64(p.shift)
+            nth //= n[row]
+        rows.append(row)
+        anchors.append(anchor)
+        homes.append(np.full(len(row), sum(excess) == 0))
     return np.concatenate(rows), np.concatenate(anchors), np.concatenate(homes)
 
 
 def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fps = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        for at in range(0, len(fps), 4096):
-            part = fps[at : at + 4096]
+        for at in range(0, len(fps), 1024):
+            part = fps[at : at + 1024]
             row, anchor, _ = replicas(part)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(part[row].view(np.int64))], names=["anchor", "fp"])
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(part[row].view(np.int64))], names=["anchor", "fp"])
 
 
 def _home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fps = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        one = (fps & np.uint64(_MASK)).astype(np.int64)
-        two = (fps >> np.uint64(23) & np.uint64(_MASK)).astype(np.int64)
-        at, _, e = _flat()[0]
-        anchor = (one ^ e[at[_syndrome(one)]]) | (two ^ e[at[_syndrome(two)]]) << 23
-        yield pa.RecordBatch.from_arrays([pa.array(anchor), b.column(0)], names=["anchor", "home_fp"])
+        yield pa.RecordBatch.from_arrays([pa.array(home(fps).view(np.int64)), b.column(0)], names=["anchor", "home_fp"])
 
 
 def links(fps: DataFrame, homes: int = HOMES) -> DataFrame:
@@ -176,7 +203,7 @@ def links(fps: DataFrame, homes: int = HOMES) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, fp, component_id``.
+    """One row per document: ``doc_id, fp, component_id``.  Ids are cast to long, so they must be integers.
 
     ``component_id`` is the smallest id reachable over links, the document's
     own included.  Defined cases: null and empty texts, and texts of white
