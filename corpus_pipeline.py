@@ -16,13 +16,12 @@ from feedloom.llm.common import documents, labels, shared_dir
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go (operator 9)."""
-    model, _ = qda.train(docs, labels(spark, sf_dir))
-    return qda.accepted(docs, model)
+    return qda.accepted(docs, qda.train_on_labelled(docs, labels(spark, sf_dir)))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays (operator 7)."""
-    return exact_dedup.distinct_documents(docs, exact_dedup.new_index(spark))
+    return exact_dedup.distinct_documents(docs, exact_dedup.new_index(spark, docs.count()))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
