@@ -239,10 +239,50 @@ def payload(data: Column) -> Column:
     return F.struct(*[F.coalesce(*[get(a) for a in names]).alias(k) for k, names in ALIASES.items()])
 
 
+def message_text(content: Column) -> Column:
+    """A message's content as text: itself, or the joined texts of a JSON list of strings and parts."""
+    parts = F.try_variant_get(F.try_parse_json(content), "$", "array<string>")
+    part = lambda x: F.when(F.trim(x).startswith("{"), F.coalesce(F.get_json_object(x, "$.text"), F.lit(""))).otherwise(x)
+    return F.when(F.trim(content).startswith("[") & parts.isNotNull(), F.array_join(F.transform(parts, part), "")).otherwise(F.coalesce(content, F.lit("")))
+
+
+def _objects(text: Column) -> Column:
+    """The outermost ``{...}`` stretches, by depth of braces, in order."""
+    start = F.struct(F.lit(1).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("since"), F.array().cast("array<struct<a:int,n:int>>").alias("found"))
+
+    def step(s: Column, ch: Column) -> Column:
+        opens, closes = ch == "{", ch == "}"
+        depth = s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        ended = closes & (depth == 0) & (s["since"] > 0)
+        since = F.when(opens & (s["depth"] == 0), s["at"]).when(ended, 0).otherwise(s["since"])
+        found = F.when(ended, F.array_append(s["found"], F.struct(s["since"].alias("a"), (s["at"] - s["since"] + 1).alias("n")))).otherwise(s["found"])
+        return F.struct((s["at"] + 1).alias("at"), depth.alias("depth"), since.alias("since"), found.alias("found"))
+
+    spans = F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), start, step)["found"]
+    return F.transform(spans, lambda s: F.substring(text, s["a"], s["n"]))
+
+
+_WIDE = "\u4e00-\u9fff，。！？、；：（）【】《》“”‘’…—·"
+
+
+def mend_quotes(text: Column) -> Column:
+    """Quotes inside a string value, between wide characters, become corner brackets."""
+    return F.regexp_replace(text, rf'([{_WIDE}-][ \t\n]*)"(?=[ \t\n]*[{_WIDE},\}}\]-])', "$1「")
+
+
 def reply_array(text: Column) -> Column:
-    """Objects, as JSON text, of a model's reply: a fenced block or the outermost brackets, else each flat object in turn."""
+    """Objects, as JSON text, of a model's reply.
+
+    A fenced block that parses; else the outermost brackets, as they are, with
+    inner quotes mended, or object by object; else the text's objects.  Objects may be nested; what does not parse, mended or not, goes.
+    """
+    text = F.trim(F.coalesce(text, F.lit("")))
+    able = lambda c: F.try_parse_json(c).isNotNull()
+    array = lambda c: F.when(able(c), F.when(F.trim(c).startswith("["), F.from_json(c, "array<string>")).otherwise(F.array(F.trim(c))))
+    each = lambda c: F.array_compact(F.transform(_objects(c), lambda o: F.when(able(o), o).otherwise(F.when(able(mend_quotes(o)), mend_quotes(o)))))
     fenced = F.nullif(F.regexp_extract(text, r"(?s)```json\s*(.*?)```", 1), F.lit(""))
     outer = F.nullif(F.regexp_extract(text, r"(?s)(\[.*\])", 1), F.lit(""))
-    parsed = lambda c: F.when(F.try_parse_json(c).isNotNull() & F.trim(c).startswith("["), F.from_json(c, "array<string>"))
-    found = F.filter(F.regexp_extract_all(text, F.lit(r"\{[^{}]*\}"), F.lit(0)), lambda o: F.try_parse_json(o).isNotNull())
-    return F.coalesce(parsed(fenced), parsed(outer), found)
+    listed = F.when(outer.isNotNull(), F.coalesce(array(outer), array(mend_quotes(outer)), each(outer)))
+    # a parser that stops after the first value takes several objects for one, so they are told apart first
+    found = each(text)
+    return F.coalesce(array(fenced), listed, F.when(F.size(found) > 0, found), F.when(text.startswith("{"), array(text)), found)

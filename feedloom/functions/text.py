@@ -6,6 +6,8 @@ are parameters; the defaults are the customary lists.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,15 +100,39 @@ def normalise_url(url: Column, strip_slash: bool = True) -> Column:
     return F.when(query == "", path).otherwise(F.concat(path, F.lit("?"), query))
 
 
+def _code_point(n: Column) -> Column:
+    """The character of a code point; the replacement character where there is none."""
+    valid = (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def _decoded(text: Column, pattern: str, value) -> Column:
+    """``text`` with each match of ``pattern`` replaced by ``value`` of it, or left where that is null."""
+    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.zip_with(gaps, found, lambda g, m: F.concat(g, F.when(m.isNull(), "").otherwise(F.coalesce(value(m), m))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+
+
+def decode_entities(text: Column) -> Column:
+    """Named (HTML 4) and numeric character references as characters, numeric ones that this uncovers too; others stay."""
+    names = F.create_map(*[F.lit(v) for k, n in sorted(name2codepoint.items()) for v in (k, chr(n))])
+
+    def number(m: Column) -> Column:
+        hexadecimal = F.conv(F.regexp_extract(m, "^&#[xX]([0-9a-fA-F]{1,8})", 1), 16, 10)
+        decimal = F.regexp_extract(m, "^&#([0-9]{1,10})", 1)
+        return F.when(m.startswith("&#"), _code_point(F.when(m.rlike("^&#[xX]"), hexadecimal).otherwise(decimal).try_cast("long")))
+
+    numeric = r"&#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
+    named = lambda m: F.coalesce(number(m), F.try_element_at(names, F.regexp_extract(m, "^&([A-Za-z0-9]+);", 1)))
+    return _decoded(_decoded(text, rf"{numeric}|&[A-Za-z][A-Za-z0-9]*;", named), numeric, number)
+
+
 def strip_html(text: Column, gap: str = " ") -> Column:
-    """Scripts, styles and page furniture, then tags, give way to ``gap``; named entities are decoded."""
+    """Scripts, styles and page furniture, then tags, give way to ``gap``; entities are decoded."""
     out = F.coalesce(text, F.lit(""))
     for tag in ("script", "style", "nav", "footer", "header"):
         out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", gap)
-    out = F.regexp_replace(out, r"<[^>]+>", gap)
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    return decode_entities(F.regexp_replace(out, r"<[^>]+>", gap))
 
 
 def strip_boilerplate(text: Column, patterns: list[str] | None = None, least: int = 5) -> Column:
@@ -137,6 +163,19 @@ def pick_content(content: Column, snippet: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(content), F.lit("")), snippet, F.lit(""))
 
 
+def cleaned(title: Column, snippet: Column, content: Column) -> Column:
+    """Struct ``title, snippet, content, truncated``: the cleaned parts of an item, each within its limit."""
+    raw = pick_content(content, snippet)
+    body = clean_text(raw)
+    short = lambda c, most: F.substring(squeeze(strip_html(c)), 1, most)
+    return F.struct(
+        short(title, TITLE_MAX).alias("title"),
+        short(snippet, SNIPPET_MAX).alias("snippet"),
+        body.alias("content"),
+        ((F.length(raw) > CONTENT_MAX) & (F.length(body) < F.length(raw))).alias("truncated"),
+    )
+
+
 def title_key(title: Column) -> Column:
     """Lower-case title without punctuation and white space."""
     return F.lower(F.regexp_replace(F.coalesce(title, F.lit("")), r"(?U)[\s，。！？：；、\"“”‘’「」『』()（）\[\]【】<>《》\-—_·.…!?:;,']+", ""))

@@ -80,6 +80,19 @@ def tidy_paragraphs(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(out, r"\n{3,}", "\n\n"), r"(?U)^\s+|\s+$", "")
 
 
+def payload_json(items: DataFrame, columns: list[str], widths: dict[str, int] | None = None) -> DataFrame:
+    """Adds ``payload``: the columns as one JSON object for an external scorer, texts cut at their widths; nulls are left out."""
+    widths = widths or {}
+    part = lambda c: F.substring(F.coalesce(F.col(c), F.lit("")), 1, widths[c]) if c in widths else F.col(c)
+    return items.withColumn("payload", F.to_json(F.struct(*[part(c).alias(c) for c in columns])))
+
+
+def clean_volume(rows: DataFrame, raw: str, cleaned: str, truncated: str) -> DataFrame:
+    """Characters before and after cleaning, and how many items were truncated: one row."""
+    total = lambda c: F.coalesce(F.sum(F.length(c)), F.lit(0))
+    return rows.agg(F.count("*").alias("n_items"), total(raw).alias("chars_before"), total(cleaned).alias("chars_after"), F.count_if(truncated).alias("n_truncated"))
+
+
 def reject_rows(items: DataFrame, kind: Column, reason: Column, body: Column, width: int = 160) -> DataFrame:
     """Rejected items as events, the draft's first ``width`` characters with them."""
     keep = [c for c in ("url", "title", "source", "category", "heat_score", "ordinal") if c in items.columns]

@@ -24,6 +24,15 @@ def union_sources(sources: list[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
+def composed(parts: list[tuple[str, DataFrame, int | None]], url: str = "url") -> DataFrame:
+    """Parts of one source in order, each cut to its first rows, every url from the first part that has it.
+
+    ``parts``: name, rows with ``ordinal``, and the most rows (all where None).
+    """
+    cut = [(n, df if most is None else df.orderBy("ordinal").limit(most)) for n, df, most in parts]
+    return first_per(union_sources(cut).filter(F.coalesce(url, F.lit("")) != ""), [url], ["collector_rank", "ordinal"])
+
+
 def first_per(df: DataFrame, keys: list[str], order: list[str], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key.  Spark keeps ``n`` rows a key before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -112,7 +112,9 @@ def agg_conditional(spark, sf_dir):
 @query("SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY text")
 def dedup_first_wins(spark, sf_dir):
     keyed = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("key"))
-    return keyed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies")).drop("key")
+    counts = keyed.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("n_copies"))
+    first = relations.new_only(keyed, "key", keyed.limit(0), ["doc_id"])
+    return first.join(counts, F.col("key") == F.col("_k")).select("doc_id", "n_copies")
 
 
 @query("""WITH d AS (SELECT doc_id, sha256(text) AS key FROM documents),
@@ -159,8 +161,8 @@ _STRIPPED = "html"
 for _tag in ("script", "style", "nav", "footer", "header"):
     _STRIPPED = f"regexp_replace({_STRIPPED}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}>', ' ', 'g')"
 _STRIPPED = f"regexp_replace({_STRIPPED}, '<[^>]+>', ' ', 'g')"
-for _name, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-    _STRIPPED = f"replace({_STRIPPED}, '{_name}', '{_char}')"
+for _name, _char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'")):
+    _STRIPPED = f"replace({_STRIPPED}, '{_name}', {_char})"
 
 
 @query(f"SELECT page_id, length({_STRIPPED}) AS n_chars, md5({_STRIPPED}) AS hash FROM pages")
@@ -403,8 +405,8 @@ def cap_per_source(spark, sf_dir):
 
 @query("SELECT c_custkey, coalesce(event_id, -1) AS event_id, event_type FROM customer LEFT JOIN (SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id) ON c_custkey = user_id")
 def reply_last_wins(spark, sf_dir):
-    replies = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("c_custkey")).agg(F.max("event_id").alias("event_id"), F.max_by("event_type", "event_id").alias("event_type"))
-    return table(spark, sf_dir, "customer").select("c_custkey").join(replies, "c_custkey", "left").fillna(-1, ["event_id"])
+    replies = table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey"), "event_id", "event_type", F.col("event_id").alias("at"))
+    return relations.with_replies(table(spark, sf_dir, "customer").select("c_custkey"), replies, "c_custkey", ["at"], last=True).fillna(-1, ["event_id"])
 
 
 @query("SELECT c_custkey, coalesce(event_id, -1) AS event_id, event_type FROM customer LEFT JOIN (SELECT user_id, min(event_id) AS event_id, arg_min(event_type, event_id) AS event_type FROM events GROUP BY user_id) ON c_custkey = user_id")
@@ -413,9 +415,10 @@ def reply_first_wins(spark, sf_dir):
     return relations.with_replies(table(spark, sf_dir, "customer").select("c_custkey"), replies, "c_custkey", ["at"], last=False).fillna(-1, ["event_id"])
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def unanswered(spark, sf_dir):
-    return relations.unanswered(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return relations.unanswered(table(spark, sf_dir, "customer").select("c_custkey"), urgent, "c_custkey")
 
 
 @query("""SELECT 'https://s.example/' || (doc_id % 400) AS link, min(doc_id) AS first_id FROM documents WHERE doc_id % 400 NOT IN
@@ -423,10 +426,13 @@ def unanswered(spark, sf_dir):
 def table_append(spark, sf_dir):
     """Links the table does not hold, or holds only from over a year before the stated day."""
     link = lambda c: F.concat(F.lit("https://s.example/"), c.cast("string"))
-    drafts_ = table(spark, sf_dir, "documents").select(link(F.col("doc_id") % 400).alias("link"), F.col("doc_id"))
+    blank = F.lit("")
+    made = table(spark, sf_dir, "documents").select(
+        link(F.col("doc_id") % 400).alias("url"), F.col("doc_id").alias("ordinal"), F.col("doc_id").cast("string").alias("title"), "source",
+        F.lit("").alias("platform"), F.lit("").alias("status"), blank.alias("body"), blank.alias("long_title"), blank.alias("long_body"), F.array().cast("array<string>").alias("tags"),
+    )
     held = table(spark, sf_dir, "orders").select(link(F.col("o_orderkey")).alias("link"), (F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) * 1000).alias("created"))
-    fresh = drafts_.join(relations.blocked_links(held, 852076800000, 24.0 * 365).select("link").distinct(), "link", "left_anti")
-    return fresh.groupBy("link").agg(F.min("doc_id").alias("first_id"))
+    return sinks.table_rows(made, held, 852076800000, 24.0 * 365).select("link", F.col("title").cast("long").alias("first_id"))
 
 
 _REASON = "CASE event_type WHEN 'error' THEN '首次失败: X 内容过短 (' || (user_id % 7) || ' 字); 修复后失败: x' WHEN 'view' THEN 'X质量分 ' || (user_id % 3) WHEN 'click' THEN 'xhs_failed: 小红书质量分 ' || (user_id % 2) WHEN 'signup' THEN 'xhs_failed: 标题' ELSE '' END"

@@ -6,12 +6,13 @@ connectors read those.  ``register`` adds further ones.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.functions.scoring import signal_score
+from feedloom.functions.scoring import release_score, signal_score
 from feedloom.functions.text import squeeze, star_count, strip_html
 from feedloom.operators.relations import first_per
 
@@ -27,16 +28,18 @@ def register(name: str, reader: Reader) -> None:
 
 
 def read(spark: SparkSession, name: str, options: dict) -> DataFrame:
-    """The source's rows; an empty relation where it cannot be read.
+    """The source's rows; an empty relation where it cannot be read, with the cause in the log.
 
-    Spark reads late, so the rows are counted here: only an action shows that a
-    source fails.
+    Spark reads late, so the rows are counted here: only an action over all of
+    them shows that a source fails.  A name that nobody registered is an error.
     """
+    reader = _READERS[name]
     try:
-        rows = _READERS[name](spark, options)
-        rows.limit(1).count()
+        rows = reader(spark, options)
+        rows.count()
         return rows
-    except Exception:
+    except Exception as cause:
+        logging.getLogger(__name__).warning("source %s gives no rows: %s", name, cause)
         return spark.createDataFrame([], MATERIAL)
 
 
@@ -156,6 +159,40 @@ def hot_lists(items: DataFrame, subject: Column, general: list[str], cap: int) -
     return first_per(rows, ["list_id"], ["ordinal"], max(2, cap // 3))
 
 
+def hot_topics(items: DataFrame, cap: int) -> DataFrame:
+    """The first ``2 x cap`` topics, their snippets telling how many sources report, and which five.
+
+    ``items``: ``url, title, ordinal, source_count, source_names``; of equal urls the first counts.
+    """
+    few = items.orderBy("ordinal").limit(cap * 2).filter(F.coalesce("url", F.lit("")) != "")
+    names = F.array_join(F.slice(F.coalesce("source_names", F.array().cast("array<string>")), 1, 5), ", ")
+    said = F.concat(F.lit("🔥 "), F.coalesce("source_count", F.lit(0)).cast("string"), F.lit(" 个独立信源在报道"))
+    snippet = F.when(names != "", F.concat(said, F.lit("\n来源: "), names)).otherwise(said)
+    return first_per(few.withColumns({"snippet": snippet, "content": F.lit(""), "source": F.lit("aihot-hot")}), ["url"], ["ordinal"])
+
+
+def pushed(repos: DataFrame, now: Column, days: int = 30, most: int = 15, subject: Column | None = None) -> DataFrame:
+    """Repositories pushed to in the last ``days`` days, most stars first, 50 at most."""
+    rows = repos.filter((F.coalesce("url", F.lit("")) != "") & (F.col("pushed_at") >= F.date_trunc("day", now - F.expr(f"INTERVAL {days} DAYS"))))
+    rows = rows if subject is None else rows.filter(subject)
+    return rows.orderBy(F.desc("stars"), "url").limit(min(most, 50))
+
+
+def query_groups(terms: list[str], size: int = 6) -> list[str]:
+    """The terms as OR queries of at most ``size`` terms."""
+    return [" OR ".join(terms[i : i + size]) for i in range(0, len(terms), size)]
+
+
+def released(repos: DataFrame, releases: DataFrame) -> DataFrame:
+    """Repositories with their latest release, if any, and the score of both.
+
+    ``repos``: ``repo, stars``; ``releases``: ``repo, tag, published``.
+    """
+    last = releases.groupBy("repo").agg(F.max_by("tag", "published").alias("tag"))
+    joined = repos.join(last, "repo", "left")
+    return joined.withColumn("signal", release_score(F.col("stars"), F.col("tag").isNotNull()))
+
+
 def watched(items: DataFrame, topics: DataFrame, most: int = 8) -> DataFrame:
     """Items joined to their topic's terms; those that match none go.
 

@@ -73,6 +73,22 @@ def recent(memory: DataFrame, added: DataFrame, order: str, most: int = 50) -> D
     return memory.unionByName(added).orderBy(F.desc(order)).limit(most)
 
 
+def recent_titles(memory: DataFrame, order: str, most: int = 20, width: int = 80) -> DataFrame:
+    """``body``: one row, the titles of the newest ``most`` rows as a list, oldest of them first; empty without any."""
+    few = memory.orderBy(F.desc(order)).limit(most).filter(F.coalesce("title", F.lit("")) != "")
+    lines = few.agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), F.substring("title", 1, width).alias("t")))).alias("x"))  # ``most`` rows
+    told = F.array_join(F.transform("x", lambda r: F.concat(F.lit("- "), r["t"])), "\n")
+    head, tail = "## 最近已做过的角度（避免重复，2026-07-26 新增）\n\n", "\n\n如果当前素材角度与上面重合度 > 80%，请换一个角度。"
+    return lines.select(F.when(F.size("x") == 0, "").otherwise(F.concat(F.lit(head), told, F.lit(tail))).alias("body"))
+
+
+def purge(table: DataFrame, status: str = "待审核", confirm: bool = False) -> tuple[DataFrame, DataFrame]:
+    """What stays, and counts by status; only where confirmed do rows of ``status`` go."""
+    name = F.coalesce(F.nullif(F.col("status"), F.lit("")), F.lit("(空)"))
+    counts = table.groupBy(name.alias("status")).agg(F.count("*").alias("n_rows"))
+    return (table.filter(~F.col("status").eqNullSafe(F.lit(status))) if confirm else table), counts
+
+
 def enqueue(queue: DataFrame, items: DataFrame, key: str) -> DataFrame:
     """Items not in the queue are added as pending."""
     fresh = first_per(items, [key], ["ordinal"]).join(queue.select(key), key, "left_anti")

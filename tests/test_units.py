@@ -101,11 +101,14 @@ def test_rewrite_leaves_urls(spark):
 
 def test_rhythm_and_voice(spark):
     long = "第一部分说了很多的话，第二部分也说了很多的话，第三部分还说了很多的话，最后收尾"
-    assert rewrite.vary_rhythm(long + "。") == "第一部分说了很多的话，第二部分也说了很多的话。第三部分还说了很多的话，最后收尾。"
-    assert rewrite.vary_rhythm("短。") == "短。" and rewrite.vary_rhythm(None) is None
-    assert rewrite.vary_rhythm("好的。不错。这是一个足够长的句子放在这里。") == "好的，不错。。这是一个足够长的句子放在这里。"
-    df = spark.createDataFrame([(long + "。",), (None,)], ["t"])
-    assert [r["x"] for r in df.select(rewrite.rhythm("t").alias("x")).collect()] == [rewrite.vary_rhythm(long + "。"), None]
+    cases = {
+        long + "。": "第一部分说了很多的话，第二部分也说了很多的话。第三部分还说了很多的话，最后收尾。",
+        "短。": "短。",
+        "好的。不错。这是一个足够长的句子放在这里。": "好的，不错。。这是一个足够长的句子放在这里。",
+        None: None,
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", rewrite.rhythm(F.col("t")).alias("x")).collect()
+    assert {r["t"]: r["x"] for r in rows} == cases
     voiced = one(spark, rewrite.long_form_voice(F.lit("我发现" + "很好用。" * 30 + "\n短行")))
     assert voiced.startswith("今天发现很好用。很好用。\n") and voiced.endswith("\n短行")
     assert one(spark, rewrite.short_post_voice(F.lit("句子内容很多很多很多。" * 20))) == "。".join(["句子内容很多很多很多"] * 12) + "..."
@@ -124,6 +127,30 @@ def test_draft_parts(spark):
     assert one(spark, drafts.payload(F.lit('{"xhs_title":"T","other_content":"","小红书内容":"C"}')))["other_content"] == "C"
     assert one(spark, drafts.reply_array(F.lit('x ```json [{"a":1}] ``` y'))) == ['{"a":1}']
     assert one(spark, drafts.reply_array(F.lit('x [{"a":1}, {"b":2,}] y'))) == ['{"a":1}']
+    assert one(spark, drafts.reply_array(F.lit('{"url":"u","tags":{"a":1}} and {"b":{"c":{"d":2}}}'))) == ['{"url":"u","tags":{"a":1}}', '{"b":{"c":{"d":2}}}']
+    assert one(spark, drafts.reply_array(F.lit('[{"t":"他说"你好"了 ok"}]'))) == ['{"t":"他说「你好「了 ok"}']
+    assert one(spark, drafts.reply_array(F.lit("no reply"))) == [] and one(spark, drafts.reply_array(F.lit(None).cast("string"))) == []
+    assert one(spark, drafts.message_text(F.lit('["a", {"type":"text","text":"b"}, {"type":"image"}]'))) == "ab"
+    assert one(spark, drafts.message_text(F.lit("plain"))) == "plain"
+
+
+def test_entities_as_the_standard_library_decodes_them(spark):
+    import html
+
+    texts = ["a &#8217; b &#x27; c &mdash; d &hellip; &eacute;", "&lt;b&gt; &amp;amp; &nbsp;x", "&unheard; & &; &#0; &#xD800; &#99999999;", "&copy; 2024 &#169 x"]
+    for t in texts:
+        assert one(spark, text.decode_entities(F.lit(t))) == html.unescape(t)
+    assert one(spark, text.decode_entities(F.lit("&amp;#39;"))) == "'"
+
+
+def test_subject_terms_and_note_plans(spark):
+    score = lambda t: one(spark, scoring.fallback_score(F.lit(t), F.lit("x"), F.lit(10.0), F.lit(0.0)))
+    assert score("华为智慧助手 发布") == 50.0 and score("通义晓蜜") == 50.0 and score("股价") == 0.0
+    assert len(scoring.minimal(scoring.SUBJECT)) < len(scoring.SUBJECT)
+    plan = lambda p: tuple(one(spark, scoring.note_plan(F.lit(p))))
+    assert plan("spell") == ("咒语型", "hook + prompt_block + tweak_notes") and plan("?") == plan("news_commentary")
+    angle = lambda t, s="x": one(spark, scoring.angle(F.lit(t), [("cost_change", ["涨价"])], F.lit(s)))
+    assert [angle("涨价 漏洞"), angle("维护者 漏洞"), angle("漏洞"), angle("x", "GitHub"), angle("x")] == ["cost_change", "ecosystem_shift", "risk_alert", "developer_update", "breaking_news"]
 
 
 def test_lengths(spark):
