@@ -90,28 +90,54 @@ def similarity(a: str, b: str, scale: float = 0.72 / 0.55) -> float:
     return max(seq, min(1.0, len(x & y) / min(len(x), len(y)) * scale)) if x and y else seq
 
 
+class _Head:
+    """The first title of a cluster: its matcher and bigrams are made once."""
+
+    def __init__(self, key: str, cluster: int):
+        self.cluster, self.size = cluster, len(key)
+        self.grams = {key[i : i + 2] for i in range(len(key) - 1)}
+        self.matcher = difflib.SequenceMatcher(None, "", key)
+
+    def beats(self, key: str, grams: set[str], least: float, best: float, scale: float = 0.72 / 0.55) -> float | None:
+        """:func:`similarity` where it is at least ``least`` and above ``best``, else None; bounds are tried first."""
+        small = min(len(grams), len(self.grams))
+        cover = min(1.0, len(grams & self.grams) / small * scale) if small else 0.0
+        enough = lambda s: s >= least and s > best
+        if not enough(max(cover, 2 * min(len(key), self.size) / (len(key) + self.size))):
+            return None
+        self.matcher.set_seq1(key)
+        if not enough(max(cover, self.matcher.quick_ratio())):
+            return None
+        s = max(cover, self.matcher.ratio()) if cover < 1.0 else 1.0
+        return s if enough(s) else None
+
+
 def cluster_titles(df: DataFrame, block: list[str], threshold: float = 0.72) -> DataFrame:
     """Add ``cluster``: titles join, in order, the most similar earlier cluster's first title.
 
     The rule depends on order, so it runs within ``block`` (a batch, a day, a
     topic): choose blocks that hold a batch's tens or hundreds of items.
-    Titles without a key are clusters of their own.
+    Titles without a key are clusters of their own.  Exact upper bounds spare
+    most comparisons, and a title that equals a head ends its search there.
     """
 
     def fold(found: pd.DataFrame) -> pd.DataFrame:
         found = found.sort_values("ordinal", kind="stable")
-        heads: list[tuple[str, int]] = []
+        heads: list[_Head] = []
         out = []
         for key, at in zip(found["_key"], found["ordinal"], strict=True):
             best, where = 0.0, None
-            for head, cluster in heads if key else []:
-                s = similarity(key, head)
-                if s >= threshold and s > best:
-                    best, where = s, cluster
+            grams = {key[i : i + 2] for i in range(len(key) - 1)}
+            for head in heads if key else []:
+                s = head.beats(key, grams, threshold, best)
+                if s is not None:
+                    best, where = s, head.cluster
+                    if s >= 1.0:
+                        break
             if where is None:
                 where = int(at)
                 if key:
-                    heads.append((key, where))
+                    heads.append(_Head(key, where))
             out.append(where)
         return found.assign(cluster=out).drop(columns="_key")
 

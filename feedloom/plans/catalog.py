@@ -320,8 +320,8 @@ def event_representatives(spark, sf_dir):
 
 @query()
 def event_clusters(spark, sf_dir):
-    """Greedy clusters of titles within a source, one batch of items each."""
-    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ordinal"), F.concat_ws(" ", "p_name", "p_type").alias("title"), F.concat_ws("-", "p_brand", (F.col("p_partkey") % 20).cast("string")).alias("batch"))
+    """Greedy clusters of a conversation's turns by how they begin: batches grow in number, not in size, with the table."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("turn").alias("ordinal"), F.substring("text", 1, 60).alias("title"), F.col("conv_id").alias("batch"))
     return relations.cluster_titles(rows, ["batch"])
 
 

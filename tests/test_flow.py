@@ -52,3 +52,30 @@ def test_flow(spark):
     assert [r["pick_rank"] for r in picked] == [1, 2] and all(r["heat_score"] >= 30 for r in picked)
     assert tuple(out.funnel.first()) == (3, 3, 5) and out.branch() in ("one", "both")
     assert out.clean.filter(F.length("content") > text.CONTENT_MAX).count() == 0
+
+
+def test_clusters_are_those_of_the_plain_rule(spark):
+    """Every head compared in full, without bounds."""
+    import random
+
+    from feedloom.operators import relations
+
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(1, 30))) for _ in range(12)]
+    titles = [t if rng.random() < 0.3 else "".join(c for c in t if rng.random() > 0.15) for t in (rng.choice(base) for _ in range(150))]
+    df = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(titles)], "ordinal long, title string, batch int")
+    keys = {r["ordinal"]: r["k"] for r in df.select("ordinal", relations.title_key(df["title"]).alias("k")).collect()}
+    want = {}
+    for batch in (0, 1):
+        heads = []
+        for i in range(batch, 150, 2):
+            best, where = 0.0, None
+            for head, c in heads if keys[i] else []:
+                s = relations.similarity(keys[i], head)
+                if s >= 0.72 and s > best:
+                    best, where = s, c
+            if where is None:
+                where = i
+                heads += [(keys[i], i)] if keys[i] else []
+            want[i] = where
+    assert {r["ordinal"]: r["cluster"] for r in relations.cluster_titles(df, ["batch"]).collect()} == want
