@@ -196,7 +196,16 @@ def clean_and_cut(spark, sf_dir):
     return rows.select("doc_id", F.length("text").alias("n_before"), F.length("t").alias("n_after"), F.md5("t").alias("hash"))
 
 
-@query()
+_SPACE = "[\\s" + chr(160) + "]"
+_CLEAN_LINES = f"""array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: regexp_replace(x, '^{_SPACE}+|{_SPACE}+$', '', 'g')),
+    lambda x: NOT regexp_matches(x, '(?im){"|".join(text.BOILERPLATE)}') AND length(regexp_replace(x, '{_SPACE}', '', 'g')) >= 5), chr(10))"""
+
+
+@query(f"""WITH s AS (SELECT page_id, {_STRIPPED} AS t FROM pages), l AS (SELECT page_id, {_CLEAN_LINES} AS t FROM s),
+    w AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(t, '[ \t]{{2,}}', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^{_SPACE}+|{_SPACE}+$', '', 'g') AS t FROM l),
+    h AS (SELECT page_id, t, substr(t, 1, 1200) AS head, regexp_extract(substr(t, 1, 1200), '(?s)^(.*)\n', 1) AS line FROM w),
+    c AS (SELECT page_id, CASE WHEN length(t) <= 1200 THEN t WHEN length(line) > 840 THEN line ELSE head END AS content FROM h)
+    SELECT page_id, content, length(content) AS n_chars FROM c""")
 def clean_pages(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", text.clean_text(F.col("html")).alias("content"))
     return rows.withColumn("n_chars", F.length("content"))
@@ -375,7 +384,15 @@ def smart_truncate(spark, sf_dir):
     return rows.withColumn("n_chars", F.length("text"))
 
 
-@query()
+_PLAIN = "replace(x, '\\n', chr(10))"
+for _from, _to in rewrite.REPLACEMENTS:
+    _PLAIN = f"regexp_replace({_PLAIN}, '{_from}', '{_to}', 'g')"
+for _from, _to in [("[!！]{2,}", "！"), ("[?？]{2,}", "？"), ("。{2,}", "。"), ("[，,]{2,}", "，"), ("，+。+", "。"), ("。+，+", "。"), ("[ \\t]+([，。！？；：])", "\\1"), ("([，。！？；：])[ \\t]+", "\\1"), ("[ \\t]+", " "), (" *\\n *", "\n")]:
+    _PLAIN = f"regexp_replace({_PLAIN}, '{_from}', '{_to}', 'g')"
+
+
+@query(f"""WITH p AS (SELECT conv_id, turn, list_transform(regexp_split_to_array(text, 'https?://\\S+'), lambda x: {_PLAIN}) AS gaps, regexp_extract_all(text, 'https?://\\S+') AS urls FROM conversations)
+    SELECT conv_id, turn, regexp_replace(array_to_string(list_transform(list_zip(gaps, urls), lambda z: coalesce(z[1], '') || coalesce(z[2], '')), ''), '^{_SPACE}+|{_SPACE}+$', '', 'g') AS text FROM p""")
 def plain_words(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", rewrite.humanise(F.col("text")).alias("text"))
 
