@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import scoring, text
 from feedloom.operators import items as ops
 from feedloom.operators import relations, sinks
+from feedloom.plans import generation, scoring_stage
 from feedloom.plans.catalog import ITEMS, items, query, table
 from feedloom.sources import connectors
 from feedloom.streaming import state
@@ -272,3 +273,37 @@ def reject_reports(spark, sf_dir):
     made = sinks.reject_report(rows)
     part = lambda n, c: made[n].select(F.lit(n).alias("report"), F.col(c).alias("name"), F.col("count").alias("n"))
     return part("kinds", "reject_kind").unionByName(part("sources", "source"))
+
+
+def _plain_items(spark, sf_dir):
+    """Items whose words decide nothing, so that SQL can say what the stages below give."""
+    said = {"title": "acme 新版本", "snippet": "s", "content": "c", "source": "feed", "category": "综合资讯"}
+    return items(spark, sf_dir).select("ordinal", "url", "lang").withColumns({k: F.lit(v) for k, v in said.items()})
+
+
+@query("""SELECT doc_id AS ordinal, CASE WHEN doc_id % 3 = 0 THEN 'ok' WHEN doc_id % 3 = 1 THEN 'tweet_content 空' ELSE 'xhs_failed: 小红书标题/正文空' END AS verdict,
+    CASE WHEN doc_id % 3 = 2 THEN 'X+小红书' ELSE '仅X' END AS platform, CASE WHEN doc_id % 3 = 1 THEN 'breaking_news' ELSE 'risk_alert' END AS angle, 'news_commentary' AS pillar,
+    CASE WHEN doc_id % 3 = 1 THEN 16 ELSE 100 END::DOUBLE AS short_score FROM documents""")
+def drafts_judged(spark, sf_dir):
+    short = "acme 这次更新影响所有开发者\\n风险在于权限变化，适合先看文档\\n但别急着升级，机会仍在后面，先看清楚成本再决定"
+    n = F.col("ordinal") % 3
+    data = F.when(n == 1, '{"platform":"x only"}').otherwise(F.concat(F.lit('{"content_angle":"risk alert","tweet_content":"' + short + '","platform":"'), F.when(n == 2, "X + other").otherwise("仅X"), F.lit('"}')))
+    rows = _plain_items(spark, sf_dir).withColumns({"data": data, "routed": F.lit(None).cast("string"), "routed_reason": F.lit(None).cast("string")})
+    made = generation.judged(generation.parsed(rows), generation.DraftRules(angles=[("breaking_news", ["新版本"])]))
+    return made.select("ordinal", "verdict", "platform", "angle", "pillar", "short_score")
+
+
+@query("""SELECT doc_id AS ordinal, CASE WHEN doc_id % 3 = 0 THEN (doc_id * 37 % 101)::DOUBLE ELSE 0 END AS heat_score,
+    CASE doc_id % 3 WHEN 0 THEN 'why | relevance=core/other | heat_ai=T' ELSE 'ai_relevance 判定非 AI 主题' END AS score_reason, CASE doc_id % 3 WHEN 0 THEN 'core' ELSE 'none' END AS ai_relevance FROM documents""")
+def scoring_stage_replies(spark, sf_dir):
+    rows, n = _plain_items(spark, sf_dir), F.col("ordinal")
+    score = (n * 37 % 101).cast("string")
+    one = F.concat(F.lit('[{"url":"'), "url", F.lit('","heat_score":'), score, F.when(n % 3 == 0, ',"ai_relevance":"core","ai_topic_relevant":true,"score_reason":"why"}]').otherwise("}]"))
+    replies = rows.filter(n % 3 < 2).select(n.alias("batch"), one.alias("reply"), F.lit(None).cast("string").alias("error"))
+    return scoring_stage.scored(rows, replies).select("ordinal", "heat_score", "score_reason", "ai_relevance")
+
+
+@query("SELECT lang, floor(rn / 40)::BIGINT AS batch, count(*) AS n_items FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS rn FROM documents) GROUP BY 1, 2")
+def scoring_requests(spark, sf_dir):
+    sent = scoring_stage.requests(_plain_items(spark, sf_dir), "lang", "ordinal")
+    return sent.select("lang", "batch", F.size(F.from_json("request", "array<struct<url:string>>")).cast("long").alias("n_items"))
