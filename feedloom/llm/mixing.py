@@ -8,9 +8,10 @@ crosses the end gives only its first words.  Keys come from a hash of the id,
 so reruns agree.
 
 The prefix sums need no sort of a whole source: keys map monotonically to
-4096 x 4096 buckets, sizes are summed per bucket (map-side combined), a window
-over at most 4096 buckets finds the one that crosses, once per digit, and only
-the rows of that last bucket, one in 16 million of a source, are sorted.
+4096 x 4096 buckets of their logarithm, whose width no scale of the weights
+changes, sizes are summed per bucket (map-side combined), a window over at most
+4096 buckets finds the one that crosses, once per digit, and only the rows of
+that last bucket, some two in a million of a source, are sorted.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ WEIGHTS = (3, 1, 2)
 #: The mix's size as a share of all sizes, and the most epochs of a source.
 SHARE, MOST = 1.5, 2
 BUCKETS = 4096
+#: Logarithms of keys that the buckets span; the end buckets take what lies beyond.
+LOG_LOW, LOG_HIGH = -40.0, 40.0
 SEED = "mix-1"
 #: Characters that lower a document's default quality weight.
 SYMBOLS = "#*$%&|<>"
@@ -42,9 +45,13 @@ def quality_weight(col: str = "text") -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.lit(20.0) * symbols.cast("double") / (F.lit(1) + F.length(text)).cast("double"))
 
 
-def key(id_col: str, weight: Column, seed: str = SEED) -> Column:
-    """The exponential key: 52 bits of a hash of the id as a uniform number."""
-    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary")), 1, 13), 16, 10)
+def key(id_col: str, weight: Column, seed: str = SEED, text_col: str = "text") -> Column:
+    """The exponential key: 52 bits of a hash of the id as a uniform number.
+
+    Rows without an id draw by their text, so that they do not share one key.
+    """
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.md5(text_or_empty(text_col).cast("binary"))))
+    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary")), 1, 13), 16, 10)
     return -F.log((bits.cast("double") + 0.5) / F.lit(float(2**52))) / weight
 
 
@@ -77,7 +84,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def _buckets(k: Column) -> tuple[Column, Column]:
-    at = (F.lit(1.0) - F.exp(-k)) * BUCKETS
+    at = F.greatest(F.lit(0.0), (F.log(k) - LOG_LOW) / (LOG_HIGH - LOG_LOW) * BUCKETS)
     one = F.least(F.floor(at), F.lit(BUCKETS - 1))
     two = F.greatest(F.lit(0), F.least(F.floor((at - one) * BUCKETS), F.lit(BUCKETS - 1)))
     return one, two
@@ -142,7 +149,7 @@ def mix(rows: DataFrame, sources: DataFrame) -> DataFrame:
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight: Column | None = None) -> DataFrame:
     """``doc_id, source, size, key`` of each document."""
     w = quality_weight(text_col) if weight is None else weight
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), key(id_col, w).alias("key"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(text_col).alias("size"), key(id_col, w, text_col=text_col).alias("key"))
 
 
 def mix_sizes(docs: DataFrame, **columns: str) -> DataFrame:
@@ -150,7 +157,8 @@ def mix_sizes(docs: DataFrame, **columns: str) -> DataFrame:
 
     Defined cases: a null text has size 0; a null source is a source of its
     own, last in order; a source without words has target 0; a null id draws
-    the key of the word ``null``; repeated rows are mixed each; equal keys are
+    its key by the text; repeated rows share a key and are
+    mixed each; equal keys are
     ordered by id, then size; an empty table gives no rows.
     """
     rows = stage(sized(docs, **columns), "sized")

@@ -80,7 +80,7 @@ SQL: dict[str, str] = {
                    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
                    length(coalesce(text, '')) AS n,
                    length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')) AS symbols,
-                   md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS hash
+                   md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))) AS hash
             FROM documents
         ), keyed AS (
             SELECT doc_id, source, size,

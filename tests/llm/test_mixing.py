@@ -1,6 +1,8 @@
 import hashlib
 import math
 
+from pyspark.sql import functions as F
+
 from feedloom.llm import mixing
 
 ROWS = "doc_id long, text string, source string, size int, rest string"
@@ -28,7 +30,8 @@ def plain_mix(rows):
     docs = []
     for i, t, s in rows:
         t = t or ""
-        h = hashlib.md5(f"mix-1:{'null' if i is None else i}".encode()).hexdigest()
+        name = f"null:{hashlib.md5(t.encode()).hexdigest()}" if i is None else i
+        h = hashlib.md5(f"mix-1:{name}".encode()).hexdigest()
         u = (int(h[:13], 16) + 0.5) / 2**52
         w = 1.0 / (1.0 + 20.0 * sum(c in "#*$%&|<>" for c in t) / (1 + len(t)))
         docs.append((i, s, len(t.split()), -math.log(u) / w))
@@ -74,10 +77,8 @@ def test_sources_come_near_their_targets_and_reruns_agree(spark):
 
 def test_heavier_documents_come_first(spark):
     """Ranks under the keys follow the weights: of two equal documents the one with three times the weight leads three times in four."""
-    pairs = spark.range(4000).selectExpr("id as a", "id + 100000 as b")
-    from pyspark.sql import functions as F
-
-    keyed = pairs.select(mixing.key("a", F.lit(3.0)).alias("x"), mixing.key("b", F.lit(1.0)).alias("y"))
+    pairs = spark.range(4000).selectExpr("id as a", "id + 100000 as b", "'' as t")
+    keyed = pairs.select(mixing.key("a", F.lit(3.0), text_col="t").alias("x"), mixing.key("b", F.lit(1.0), text_col="t").alias("y"))
     share = keyed.filter("x < y").count() / 4000
     assert abs(share - 0.75) < 0.03
 
@@ -107,3 +108,22 @@ def test_repeated_rows_and_equal_keys(spark):
     docs = spark.createDataFrame([(1, "a b c", "s", 0, "")] * 4 + [(2, "d", "s", 0, "")], ROWS)
     got = mixing.mix_sizes(docs).collect()
     assert len(got) == 5 and sum(r["taken"] for r in got) == 19
+
+
+def test_rows_without_id_draw_keys_of_their_own(spark):
+    rows = [(None, f"text {i}", "a", 2, None) for i in range(200)] + [(None, None, "a", 2, None)]
+    got = mixing.sized(spark.createDataFrame(rows, ROWS))
+    assert got.select("key").distinct().count() == 201
+
+
+def test_weights_of_any_scale_spread_over_the_buckets(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "'one two three' AS text", "'a' AS source")
+    ends = []
+    for w in (1e-6, 0.01, 1.0, 1e6):
+        rows = mixing.sized(docs, weight=F.lit(w))
+        one, two = mixing._buckets(F.col("key"))
+        assert rows.groupBy(one, two).count().agg(F.max("count")).first()[0] <= 5
+        mixed = mixing.mix(rows, mixing.plan(rows))
+        ends.append(sorted(r.doc_id for r in mixed.filter("extra > 0").collect()))
+        assert mixed.agg(F.sum("taken")).first()[0] == 90_000
+    assert ends[0] == ends[1] == ends[2] == ends[3]
