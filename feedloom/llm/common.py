@@ -33,8 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
     return got.rstrip("/")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder, with the writer's ``options``, and read it back.
 
     This cuts lineage so that a lost executor costs one re-read, makes values
     that depend on evaluation order final, and gives both sides of a later
@@ -42,7 +42,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/feedloom/{uuid.uuid4().hex}/{label}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

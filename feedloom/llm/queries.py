@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import exact_dedup, licences, mixing, packing, pii, qda, quality_rules, secrets, simhash, tokens
+from feedloom.llm import alignment, exact_dedup, language, licences, merkle, mixing, packing, pii, qda, quality_rules, secrets, simhash, sql, tokens
 from feedloom.llm.common import documents, labels
 
 
@@ -60,6 +60,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(documents(spark, sf_dir))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.predict(docs, language.train(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir))[0]
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
@@ -71,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secrets": op10_secrets,
+    "op11_language_id": op11_language_id,
+    "op12_alignment": op12_alignment,
+    "op13_merkle": op13_merkle,
 }
 
 SQL: dict[str, str] = {
@@ -129,4 +145,5 @@ SQL: dict[str, str] = {
         FROM documents
         WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_merkle": sql.merkle(),
 }
