@@ -90,7 +90,7 @@ def similarity(a: str, b: str, scale: float = 0.72 / 0.55) -> float:
     return max(seq, min(1.0, len(x & y) / min(len(x), len(y)) * scale)) if x and y else seq
 
 
-class _Head:
+class Head:
     """The first title of a cluster: its matcher and bigrams are made once."""
 
     def __init__(self, key: str, cluster: int):
@@ -123,7 +123,7 @@ def cluster_titles(df: DataFrame, block: list[str], threshold: float = 0.72) ->
 
     def fold(found: pd.DataFrame) -> pd.DataFrame:
         found = found.sort_values("ordinal", kind="stable")
-        heads: list[_Head] = []
+        heads: list[Head] = []
         out = []
         for key, at in zip(found["_key"], found["ordinal"], strict=True):
             best, where = 0.0, None
@@ -137,7 +137,7 @@ def cluster_titles(df: DataFrame, block: list[str], threshold: float = 0.72) ->
             if where is None:
                 where = int(at)
                 if key:
-                    heads.append(_Head(key, where))
+                    heads.append(Head(key, where))
             out.append(where)
         return found.assign(cluster=out).drop(columns="_key")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.functions.scoring import BOTH, normalise_status
 from feedloom.functions.text import normalise_url
 from feedloom.operators.relations import blocked_links, first_per, top_reasons
+from feedloom.operators.staging import stage
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
@@ -43,21 +44,24 @@ def table_rows(drafts: DataFrame, existing: DataFrame, now_ms: int, freshness_ho
     )
 
 
-def guarded(write: Callable[[DataFrame], None], ready: bool, remember: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], str]:
-    """A ``foreachBatch`` function: nothing is written unless ready; state is saved only after a whole write."""
+def guarded(write: Callable[[DataFrame, int], object], ready: bool, remember: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], str]:
+    """A ``foreachBatch`` function: nothing is written unless ready; state is saved only after a whole write.
 
-    def run(batch: DataFrame, _: int = 0) -> str:
+    Both get the batch's number.  With ``BatchTable.write`` (False for a batch
+    that is there) and state written under the number (``StateTable.write``),
+    a batch that failed between the two, and one that is replayed whole, come
+    out once.
+    """
+
+    def run(batch: DataFrame, number: int = 0) -> str:
         if not ready:
             return "disabled"
         if batch.isEmpty():
             return "no rows"
-        batch = batch.persist()
-        try:
-            write(batch)
-            remember(batch)
-        finally:
-            batch.unpersist()
-        return "written"
+        rows = stage(batch, "batch")
+        new = write(rows, number)
+        remember(rows, number)
+        return "replayed" if new is False else "written"
 
     return run
 

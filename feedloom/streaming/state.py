@@ -6,11 +6,16 @@ so a batch that fails leaves the last state as it was.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from feedloom.operators.batches import BatchTable
 from feedloom.operators.relations import first_per, new_only, remember
+from feedloom.operators.staging import stage
 
 
 class StateTable:
@@ -24,46 +29,63 @@ class StateTable:
         at = jvm.org.apache.hadoop.fs.Path(self.path)
         return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm
 
-    def _versions(self) -> list[int]:
+    def _versions(self) -> list[tuple[int, str]]:
+        """``(number, batch)`` of the whole versions, oldest first; the batch is empty where none was named."""
         fs, jvm = self._fs()
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         if not fs.exists(root):
             return []
         done = [s.getPath() for s in fs.listStatus(root) if s.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        return sorted(int(p.getName()[1:]) for p in done if p.getName()[1:].isdigit())
-
-    def read(self) -> DataFrame:
-        at = self._versions()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{at[-1]}") if at else self.spark.createDataFrame([], self.schema)
-
-    def write(self, df: DataFrame, keep: int = 2) -> None:
-        at = self._versions()
-        df.write.mode("overwrite").parquet(f"{self.path}/v{(at[-1] + 1) if at else 0}")
+        found = [re.fullmatch(r"v(\d+)(?:-(.+))?", p.getName()) for p in done]
+        return sorted((int(m[1]), m[2] or "") for m in found if m)
+
+    def _at(self, version: tuple[int, str]) -> str:
+        return f"{self.path}/v{version[0]}" + (f"-{version[1]}" if version[1] else "")
+
+    def read(self, before: str | int | None = None) -> DataFrame:
+        """The last version; ``before``: the last one that this batch did not write, so that a replay finds what the first try found."""
+        at = [v for v in self._versions() if before is None or v[1] != str(before)]
+        return self.spark.read.schema(self.schema).parquet(self._at(at[-1])) if at else self.spark.createDataFrame([], self.schema)
+
+    def write(self, df: DataFrame, keep: int = 2, batch: str | int | None = None) -> None:
+        """A new version; those of the same batch go, and all but the last ``keep``."""
+        at, name = self._versions(), "" if batch is None else str(batch)
+        new = ((at[-1][0] + 1) if at else 0, name)
+        df.write.mode("overwrite").parquet(self._at(new))
         fs, jvm = self._fs()
-        for old in at[: -keep + 1 or None] if len(at) >= keep else []:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{old}"), True)
+        same = [v for v in at if name and v[1] == name]
+        others = [v for v in at if v not in same]
+        for old in same + others[: max(0, len(others) - keep + 1)]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._at(old)), True)
 
     def clear(self) -> None:
         self.write(self.spark.createDataFrame([], self.schema))
 
 
-def admit(batch: DataFrame, state: StateTable, key: str, most: int = 5000) -> DataFrame:
-    """Rows of the batch whose key is new; the keys are remembered before anything else is done with them.
+def admit(batch: DataFrame, state: StateTable, key: str, most: int = 5000, sink: Callable[[DataFrame], object] | None = None, batch_id: str | int | None = None) -> DataFrame:
+    """Rows of the batch whose key is new; ``sink`` gets them before their keys are remembered.
 
-    ``batch``: ``key, ordinal, ...``; ``state``: ``key, seq``.
+    ``batch``: ``key, ordinal, ...``; ``state``: ``key, seq``.  Keys that a try
+    of the same ``batch_id`` remembered count as new, so a batch that failed
+    anywhere can be run again and gives the same rows.  The history is one
+    table of the newest ``most`` keys, in order of arrival; for keys without
+    such a limit see ``keyed.admit``, which rewrites nothing.
     """
-    history = state.read()
-    fresh = new_only(batch, key, history, ["ordinal"]).persist()
+    history = state.read(before=batch_id)
+    fresh = stage(new_only(batch, key, history, ["ordinal"]), "admitted")
     start = history.agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0] + 1
-    state.write(remember(history, fresh.select(key, (F.col("ordinal") + start).alias("seq")), key, "seq", most))
+    kept = remember(history, fresh.select(key, (F.col("ordinal") + start).alias("seq")), key, "seq", most)
+    if sink is not None:
+        sink(fresh)
+    state.write(kept, batch=batch_id)
     return fresh
 
 
-def admit_stream(stream: DataFrame, state: StateTable, key: str, sink: str, checkpoint: str, most: int = 5000) -> StreamingQuery:
-    """New rows of a stream, appended to ``sink``; each run takes what has come since the last."""
+def admit_stream(stream: DataFrame, state: StateTable, key: str, sink: BatchTable, checkpoint: str, most: int = 5000) -> StreamingQuery:
+    """New rows of a stream, each batch written to ``sink`` once; each run takes what has come since the last."""
 
-    def run(batch: DataFrame, _: int) -> None:
-        admit(batch, state, key, most).write.mode("append").parquet(sink)
+    def run(batch: DataFrame, number: int) -> None:
+        admit(batch, state, key, most, lambda rows: sink.write(rows, number), number)
 
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import drafts, rewrite, scoring, text
 from feedloom.operators import relations, sinks
+from feedloom.operators.batches import BatchTable
 from feedloom.sources import connectors
 from feedloom.streaming import state
 
@@ -228,13 +229,13 @@ def test_seen_urls_across_batches(spark, tmp_path):
 
 
 def test_stream(spark, tmp_path):
-    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    src, out = f"{tmp_path}/in", BatchTable(spark, f"{tmp_path}/out", "url string, ordinal long")
     table = state.StateTable(spark, f"{tmp_path}/state", "url string, seq long")
     schema = "url string, ordinal long"
     for n, urls in enumerate((["a", "b"], ["b", "c"])):
         spark.createDataFrame([(u, i) for i, u in enumerate(urls)], schema).coalesce(1).write.mode("append").parquet(src)
         state.admit_stream(spark.readStream.schema(schema).parquet(src), table, "url", out, f"{tmp_path}/cp").awaitTermination()
-    assert sorted(r["url"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+    assert sorted(r["url"] for r in out.read().collect()) == ["a", "b", "c"]
 
 
 def test_queue(spark):
@@ -258,15 +259,15 @@ def test_table_rows(spark):
 
 def test_guarded_sink(spark):
     log = []
-    run = sinks.guarded(lambda b: log.append("w"), True, lambda b: log.append("s"))
+    run = sinks.guarded(lambda b, n: log.append("w"), True, lambda b, n: log.append("s"))
     assert run(spark.range(1)) == "written" and log == ["w", "s"] and run(spark.range(0)) == "no rows"
-    assert sinks.guarded(lambda b: log.append("w"), False, lambda b: None)(spark.range(1)) == "disabled" and log == ["w", "s"]
+    assert sinks.guarded(lambda b, n: log.append("w"), False, lambda b, n: None)(spark.range(1)) == "disabled" and log == ["w", "s"]
 
-    def fail(batch):
+    def fail(batch, number):
         raise OSError("down")
 
     with pytest.raises(OSError):
-        sinks.guarded(fail, True, lambda b: log.append("s"))(spark.range(1))
+        sinks.guarded(fail, True, lambda b, n: log.append("s"))(spark.range(1))
     assert log == ["w", "s"]
     assert sinks.evolve(spark.range(1).withColumn("old", F.lit(1)), {"id": "long", "new": "string"}, ["old"]).columns == ["id", "new"]
 
