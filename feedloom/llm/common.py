@@ -2,57 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.operators.staging import BROADCAST_ROWS, bound, broadcast_checked, shared_dir, stage  # noqa: F401 - the operators take them from here
+
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows up to which a measured side may be broadcast (a few MB of keys).
-BROADCAST_ROWS = 50_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given.
-
-    Only a local master may have neither (a test); a temporary folder is set
-    there.  On a cluster each executor would write to its own disk, so it stops.
-    """
-    got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not got:
-        got = spark.conf.get("feedloom.local.scratch", None)
-    if not got:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        got = "file://" + tempfile.mkdtemp(prefix="feedloom-")
-        spark.conf.set("feedloom.local.scratch", got)
-    return got.rstrip("/")
-
-
-def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Write ``df`` to the shared folder, with the writer's ``options``, and read it back.
-
-    This cuts lineage so that a lost executor costs one re-read, makes values
-    that depend on evaluation order final, and gives both sides of a later
-    join a plain exchange that adaptive execution can split when a key is hot.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/feedloom/{uuid.uuid4().hex}/{label}"
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the (staged) side has at most ``limit`` rows.
-
-    Beyond the limit the plan keeps its shuffle join.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
 
 def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Null-safe equality of ``keys``; the right side names them ``_k_<key>``."""
@@ -77,11 +36,6 @@ def keep_rows(docs: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
     return docs.join(right, same(docs, right, keys), "left_semi")
 
 
-def bound(value: Column, f: Callable[[Column], Column]) -> Column:
-    """``f`` of ``value``, which is computed once."""
-    return F.element_at(F.transform(F.array(value), f), 1)
-
-
 def running(values: Column, start: Column, f: Callable[[Column, Column], Column], block: int = 64) -> Column:
     """The running results of an associative ``f`` over an array, ``start`` being neutral.
 

@@ -16,7 +16,8 @@ most ``SAMPLE_DOCS`` and as many bytes as ``SAMPLE_BYTES`` over the number of
 languages (``LANGUAGE_BYTES`` at most) give; whole texts, at least one.  So
 all trees together have fewer than ``SAMPLE_BYTES`` nodes an order, whatever
 the table holds, and can be broadcast.  Ranks are taken on hashes and sizes
-alone; Spark keeps the first rows of each language before the shuffle.
+alone, among the ``MARGIN * SAMPLE_DOCS`` smallest hashes to be expected of a
+language.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
 so is every text where there is nothing to learn from.  Rows with a null
@@ -45,6 +46,8 @@ from feedloom.llm.common import broadcast_checked, lookup
 ORDER = 4
 #: Bounds of the training sample: rows of a language, bytes of a language, bytes of all.
 SAMPLE_DOCS, LANGUAGE_BYTES, SAMPLE_BYTES = 4096, 4 << 20, 64 << 20
+#: Rows that are ranked, over those wanted.
+MARGIN = 1.25
 #: Bytes of text whose different strings are evaluated together.
 CHUNK_BYTES = 8 << 20
 UNDETERMINED = "und"
@@ -134,8 +137,13 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFr
     text = F.coalesce(F.col(text_col), F.lit(""))
     usable = docs.filter(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col))
     rows = usable.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string"), text).alias("h"), text.alias("text")).filter("text <> ''")
+    # the hash is uniform: a cut at a little over the share wanted leaves few rows to rank, whatever a language holds
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("docs"))
+    share = (F.col("h").cast("double") + 2.0**63) / 2.0**64
+    near = lookup(rows.select("lang", "h", F.octet_length("text").cast("long").alias("size")), broadcast_checked(sizes), ["lang"], "inner")
+    near = near.filter(share <= MARGIN * SAMPLE_DOCS / F.col("docs")).drop("docs")
     by = Window.partitionBy("lang").orderBy("h", "size")
-    ranked = rows.select("lang", "h", F.octet_length("text").cast("long").alias("size")).withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= SAMPLE_DOCS)
+    ranked = near.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= SAMPLE_DOCS)
     n = F.size(F.collect_set("lang").over(Window.partitionBy(F.lit(0))))
     langs = ranked.select("lang").distinct().withColumn("room", F.least(F.lit(LANGUAGE_BYTES), F.floor(F.lit(SAMPLE_BYTES) / n)))
     summed = ranked.withColumn("bytes", F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, 0)))
