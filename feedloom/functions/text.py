@@ -6,11 +6,14 @@ are parameters; the defaults are the customary lists.
 
 from __future__ import annotations
 
+import re
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedloom.functions.lambdas import bound
+
 # Lines that match one of these are navigation or legal boilerplate.
 BOILERPLATE = [
     r"订阅.*?(?:邮件|newsletter|推送)",
@@ -108,9 +111,13 @@ def _code_point(n: Column) -> Column:
 
 def _decoded(text: Column, pattern: str, value) -> Column:
     """``text`` with each match of ``pattern`` replaced by ``value`` of it, or left where that is null."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.zip_with(gaps, found, lambda g, m: F.concat(g, F.when(m.isNull(), "").otherwise(F.coalesce(value(m), m))))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+
+    def once(t: Column) -> Column:
+        gaps, found = F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+        pieces = F.zip_with(gaps, found, lambda g, m: F.concat(g, F.when(m.isNull(), "").otherwise(F.coalesce(value(m), m))))
+        return F.when(F.contains(t, F.lit("&")), F.array_join(pieces, "")).otherwise(t)
+
+    return bound(text, once)
 
 
 def decode_entities(text: Column) -> Column:
@@ -199,34 +206,51 @@ def sentences(text: Column) -> Column:
 
 
 def tone(text: Column, cliches: list[str] | None = None, hedges: list[str] | None = None) -> Column:
-    """Struct of how templated a text sounds: the cliches hit, densities, and a score of 0 to 100."""
+    """Struct of how templated a text sounds: the cliches hit, densities, and a score of 0 to 100.
+
+    Sentences, lines and measures are bound, so each is made once a row.
+    """
     cliches, hedges = cliches or CLICHES, hedges or HEDGES
     text = F.coalesce(text, F.lit(""))
     hits = F.array_compact(F.array(*[F.when(F.contains(text, F.lit(w)), F.lit(w)) for w in cliches]))
-    dashes = occurrences(text, ["——"]) + occurrences(text, ["—"])
-    parts = sentences(text)
-    average = F.when(F.size(parts) > 0, F.aggregate(parts, F.lit(0), lambda a, s: a + F.length(s)) / F.size(parts)).otherwise(F.lit(0.0))
-    hedge = occurrences(text, hedges) / F.greatest(F.length(text) / 100, F.lit(1.0))
+    average = lambda parts: F.when(F.size(parts) > 0, F.aggregate(parts, F.lit(0), lambda a, s: a + F.length(s)) / F.size(parts)).otherwise(F.lit(0.0))
     lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    bullets = F.filter(lines, lambda x: x.rlike(r"^\s*(?:[-*•]|\d+[.)、]|[一二三四五六七八九十]+[、.])\s*") | (F.length(x) <= 8))
-    bullet = F.when(F.size(lines) > 0, F.size(bullets) / F.size(lines)).otherwise(F.lit(0.0))
-    score = (
-        F.least(occurrences(text, cliches) * 16, F.lit(76))
-        + F.least(dashes * 4, F.lit(12))
-        + F.least(hedge * 8, F.lit(16.0))
-        + F.least(bullet * 12, F.lit(12.0))
-        + F.when(average > 42, F.least((average - 42) * 0.6, F.lit(12.0))).otherwise(F.lit(0.0))
-    )
-    blank = F.trim(text) == ""
-    return F.struct(
-        F.when(blank, F.array().cast("array<string>")).otherwise(hits).alias("cliche_hits"),
-        F.when(blank, 0).otherwise(dashes).alias("dash_count"),
-        F.when(blank, 0.0).otherwise(F.bround(average, 2)).alias("avg_sentence_len"),
-        F.when(blank, 0.0).otherwise(F.bround(hedge, 2)).alias("hedge_density"),
-        F.when(blank, 0.0).otherwise(F.bround(bullet, 2)).alias("bullet_density"),
-        F.when(blank, 0.0).otherwise(F.bround(F.least(score, F.lit(100.0)), 2)).alias("ai_score"),
+    listed = lambda x: x.rlike(r"^\s*(?:[-*•]|\d+[.)、]|[一二三四五六七八九十]+[、.])\s*") | (F.length(x) <= 8)
+    bullet = lambda of: F.when(F.size(of) > 0, F.size(F.filter(of, listed)) / F.size(of)).otherwise(F.lit(0.0))
+    measures = F.struct(
+        _counted(text, cliches).alias("cliches"),
+        _counted(text, ["——", "—"]).alias("dashes"),
+        bound(sentences(text), average).alias("average"),
+        (_counted(text, hedges) / F.greatest(F.length(text) / 100, F.lit(1.0))).alias("hedge"),
+        bound(lines, bullet).alias("bullet"),
     )
 
+    def told(m: Column) -> Column:
+        score = (
+            F.least(m["cliches"] * 16, F.lit(76))
+            + F.least(m["dashes"] * 4, F.lit(12))
+            + F.least(m["hedge"] * 8, F.lit(16.0))
+            + F.least(m["bullet"] * 12, F.lit(12.0))
+            + F.when(m["average"] > 42, F.least((m["average"] - 42) * 0.6, F.lit(12.0))).otherwise(F.lit(0.0))
+        )
+        blank = F.trim(text) == ""
+        return F.struct(
+            F.when(blank, F.array().cast("array<string>")).otherwise(hits).alias("cliche_hits"),
+            F.when(blank, 0).otherwise(m["dashes"]).alias("dash_count"),
+            F.when(blank, 0.0).otherwise(F.bround(m["average"], 2)).alias("avg_sentence_len"),
+            F.when(blank, 0.0).otherwise(F.bround(m["hedge"], 2)).alias("hedge_density"),
+            F.when(blank, 0.0).otherwise(F.bround(m["bullet"], 2)).alias("bullet_density"),
+            F.when(blank, 0.0).otherwise(F.bround(F.least(score, F.lit(100.0)), 2)).alias("ai_score"),
+        )
+
+    return bound(measures, told)
+
+
+def _counted(text: Column, words: list[str]) -> Column:
+    """:func:`occurrences`, behind one search for any of the words, which most texts end with."""
+    any_of = "|".join(re.escape(w) for w in words)
+    return F.when(text.rlike(any_of), occurrences(text, words)).otherwise(0)
+
 
 def validate_length(text: Column, platform: Column) -> Column:
     """Struct ``ok, reason, length`` against the platform's limits; an unknown platform counts as x."""

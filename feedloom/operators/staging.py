@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.functions.lambdas import bound  # noqa: F401 - taken from here as well
+
 #: Rows up to which a measured side may be broadcast (a few MB of keys).
 BROADCAST_ROWS = 50_000
 
@@ -48,8 +50,3 @@ def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     Beyond the limit the plan keeps its shuffle join.
     """
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
-def bound(value: Column, f) -> Column:
-    """``f`` of ``value``, which is computed once."""
-    return F.element_at(F.transform(F.array(value), f), 1)

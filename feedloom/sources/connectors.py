@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.scoring import release_score, signal_score
+from feedloom.functions.terms import find_terms, term_names
 from feedloom.functions.text import squeeze, star_count, strip_html
 from feedloom.operators.relations import first_per
+from feedloom.operators.staging import stage
 
 MATERIAL = "url string, title string, snippet string, content string, source string, publish_time string, ordinal long"
 COLUMNS = [c.split()[0] for c in MATERIAL.split(", ")]
@@ -30,14 +32,14 @@ def register(name: str, reader: Reader) -> None:
 def read(spark: SparkSession, name: str, options: dict) -> DataFrame:
     """The source's rows; an empty relation where it cannot be read, with the cause in the log.
 
-    Spark reads late, so the rows are counted here: only an action over all of
-    them shows that a source fails.  A name that nobody registered is an error.
+    Spark reads late, so the rows are written as a table here: only an action
+    over all of their columns shows that a source fails, and what was read once
+    is not read again.  A name that nobody registered is an error.  For a
+    source of which single records are bad see ``intake``.
     """
     reader = _READERS[name]
     try:
-        rows = reader(spark, options)
-        rows.count()
-        return rows
+        return stage(reader(spark, options), f"source-{name}")
     except Exception as cause:
         logging.getLogger(__name__).warning("source %s gives no rows: %s", name, cause)
         return spark.createDataFrame([], MATERIAL)
@@ -194,13 +196,15 @@ def released(repos: DataFrame, releases: DataFrame) -> DataFrame:
 
 
 def watched(items: DataFrame, topics: DataFrame, most: int = 8) -> DataFrame:
-    """Items joined to their topic's terms; those that match none go.
+    """Items with the terms of their topic that occur, in the order of the topic's list; those that match none go.
 
     ``topics``: ``topic, terms``; ``items``: ``topic, title, snippet, ...``.
+    One automaton holds the terms of all topics.
     """
-    text = F.lower(F.concat_ws(" ", "title", "snippet"))
-    joined = items.join(topics, "topic")
-    return joined.withColumn("matched_terms", F.slice(F.filter("terms", lambda t: F.contains(text, F.lower(t))), 1, most)).filter(F.size("matched_terms") > 0).drop("terms")
+    terms = topics.select("topic", F.posexplode("terms").alias("place", "term"))
+    rows = items.filter(F.col("topic").isNotNull()).withColumn("_text", F.concat_ws(" ", "title", "snippet"))
+    found = find_terms(rows, "_text", terms, "topic", "_found")
+    return found.withColumn("matched_terms", term_names(F.col("_found"), most)).filter(F.size("matched_terms") > 0).drop("_text", "_found")
 
 
 def trending(html: DataFrame, text: str = "html") -> DataFrame:
