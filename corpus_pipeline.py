@@ -21,7 +21,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays (operator 7)."""
-    return exact_dedup.distinct_documents(docs, exact_dedup.new_index(spark, docs.count()))
+    index = exact_dedup.new_index(spark, docs.count())
+    kept = exact_dedup.distinct_documents(docs, index)  # the index has been read by now
+    index.close()
+    return kept
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
