@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import scoring
 from feedloom.functions.drafts import reply_array
 from feedloom.operators import items, relations
+from feedloom.operators.calls import ReplyLog
 
 #: Items in one request, and how much of an item's content it holds.
 BATCH, CONTENT = 40, 800
@@ -24,6 +25,12 @@ def requests(rows: DataFrame, group: str, order: str, n: int = BATCH) -> DataFra
     return together.select(group, "batch", body.alias("request"))
 
 
+def asked(rows: DataFrame, group: str, order: str, log: ReplyLog, n: int = BATCH, subject: list[str] | None = None) -> DataFrame:
+    """:func:`scored` with the replies of the service behind ``log``, asked from the tasks, each request once."""
+    told = log.ask(requests(rows, group, order, n))
+    return scored(rows, told.select("batch", "reply", "error"), subject)
+
+
 def _answers(replies: DataFrame) -> DataFrame:
     """The objects of all replies, the last of each url."""
     one = replies.select("batch", F.posexplode(reply_array(F.col("reply"))).alias("turn", "o"))
