@@ -243,6 +243,23 @@ def shares(df: DataFrame, by: str, hit: Column, good: float = 0.7, fair: float =
     return rows.withColumn("hit_share", share).withColumn("flag", F.when(share >= good, "OK").when(share >= fair, "WARN").otherwise("LOW"))
 
 
+def with_file(df: DataFrame, name: str = "file") -> DataFrame:
+    """Rows of files with the name of the file that each came from; take it before anything else is done to them."""
+    return df.select("*", F.col("_metadata.file_name").alias(name))
+
+
+def file_shares(parts: list[tuple[str, DataFrame]], hit: Column, good: float = 0.7, fair: float = 0.5) -> DataFrame:
+    """Shares of rows that hit for each input file of each part, each part and in all: ``part, file, n_rows, n_hits, hit_share, flag``.
+
+    ``parts``: rows with ``file`` (:func:`with_file`) and what ``hit`` reads.
+    Rows are counted in the task before they meet; null stands for all.
+    """
+    rows = union_sources(parts).select(F.col("collector").alias("part"), "file", hit.alias("_hit"))
+    counted = rows.rollup("part", "file").agg(F.count("*").alias("n_rows"), F.count_if("_hit").alias("n_hits"))
+    share = F.col("n_hits") / F.col("n_rows")
+    return counted.withColumn("hit_share", share).withColumn("flag", F.when(share >= good, "OK").when(share >= fair, "WARN").otherwise("LOW"))
+
+
 def diversity(df: DataFrame, key: str) -> DataFrame:
     """Distinct keys over rows, times 0.7 where the largest has over 40 %."""
     per = df.groupBy(key).count()
