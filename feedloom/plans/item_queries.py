@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from feedloom.functions import scoring, text
 from feedloom.operators import items as ops
 from feedloom.operators import relations, sinks
-from feedloom.plans import generation, scoring_stage
+from feedloom.plans import catalog, generation, scoring_stage
 from feedloom.plans.catalog import ITEMS, items, query, table
 from feedloom.sources import connectors
 from feedloom.streaming import state
@@ -200,10 +200,12 @@ def scorer_payloads(spark, sf_dir):
     return rows.select("ordinal", F.get_json_object("payload", "$.url").alias("url"), F.length(F.get_json_object("payload", "$.snippet")).alias("n"))
 
 
-@query("""SELECT count(*) AS n_items, sum(length(html))::BIGINT AS chars_before, sum(least(length(html), 500))::BIGINT AS chars_after, count(*) FILTER (WHERE length(html) > 500) AS n_truncated FROM pages""")
+@query(f"""WITH c AS ({catalog.SQL['clean_pages']}) SELECT count(*) AS n_items, sum(length(html))::BIGINT AS chars_before, sum(n_chars)::BIGINT AS chars_after,
+    count(*) FILTER (WHERE length(html) > 1200 AND n_chars < length(html)) AS n_truncated FROM pages JOIN c USING (page_id)""")
 def clean_volume(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select("html", F.substring("html", 1, 500).alias("cut"), (F.length("html") > 500).alias("over"))
-    return ops.clean_volume(rows, "html", "cut", "over")
+    rows = table(spark, sf_dir, "pages").select("html", text.clean_text(F.col("html")).alias("clean"))
+    rows = rows.withColumn("over", (F.length("html") > text.CONTENT_MAX) & (F.length("clean") < F.length("html")))
+    return ops.clean_volume(rows, "html", "clean", "over")
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '咒语型' WHEN 1 THEN '平替型' ELSE '结果型' END AS title_pattern,
@@ -236,9 +238,9 @@ def normalised_names(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy(status.alias("status"), angle.alias("angle"), platform.alias("platform")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT doc_id, list_filter(list_transform(string_split(replace(substr(text, 1, 300), '，', ','), ','), lambda t: ltrim(trim(t, ' '), '#')), lambda t: t <> '') AS tags FROM documents""")
+@query("""SELECT doc_id, list_filter(list_transform(string_split(replace(text, '，', ','), ','), lambda t: ltrim(trim(t, ' '), '#')), lambda t: t <> '') AS tags FROM documents""")
 def tag_lists(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.tags(F.substring("text", 1, 300)).alias("tags"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.tags(F.col("text")).alias("tags"))
 
 
 @query("""SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) AS n_lines, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')[1] AS head FROM documents""")
