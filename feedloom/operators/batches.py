@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class Files:
@@ -69,7 +70,7 @@ class Files:
 class BatchTable:
     """Batches of rows of one schema under ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
+    def __init__(self, spark: SparkSession, path: str, schema: str | StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.files = Files(spark, self.path)
 

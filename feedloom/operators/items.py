@@ -8,11 +8,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from feedloom.functions.drafts import _contains_any
 from feedloom.functions.scoring import ONE
 from feedloom.functions.text import hit_count, truncate, validate_length
+from feedloom.operators.relations import numbered
 
 TEXTS = ["title", "snippet", "content", "source"]
 
@@ -46,10 +46,10 @@ def page_links(pages: DataFrame, base: Column, html: str = "html") -> DataFrame:
     return rows.select(url.alias("url"), title.alias("title")).filter("title <> ''")
 
 
-def chunked(df: DataFrame, n: int, by: list[str], order: list[str]) -> DataFrame:
-    """Adds ``chunk``: runs of ``n`` rows within ``by``."""
-    rn = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return df.withColumn("chunk", F.floor((rn - 1) / n))
+def chunked(df: DataFrame, n: int, by: str, order: str) -> DataFrame:
+    """Adds ``chunk``: runs of ``n`` rows within ``by``, in the order of a whole number; a group that is most of the table is split."""
+    placed = numbered(df, by, order)
+    return placed.withColumn("chunk", F.floor(F.col("_rn") / n)).drop("_rn")
 
 
 def draft_id(url: Column, prefix: str = "tweet") -> Column:
@@ -180,11 +180,6 @@ def invoke(model: Callable[[list[dict]], list[dict]], batch: list[dict], attempt
     return []
 
 
-def scored_by(items: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Any function from items to scored items."""
-    return scorer(items)
-
-
 def merged(*configs: dict) -> dict:
     """Later settings override earlier ones, one level of nested tables deep; nulls do not override."""
 

@@ -183,6 +183,18 @@ def representative_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return found
 
 
+def representative_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Each cluster's representative with ``cluster_size`` and ``n_related``, for clusters of any size; :func:`related` lists the other urls as rows."""
+    counts = representative_counts(df, keys).drop("ordinal")
+    return _join_null_safe(_best_members(df, keys).drop("cluster_size", "n_related"), counts, keys)
+
+
+def related(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, ordinal, url``: members whose url is not their representative's, a row each."""
+    top = _best_members(df, keys).select(*keys, F.col("url").alias("_url"))
+    return _join_null_safe(df.select(*keys, "ordinal", "url"), top, keys).filter(F.col("url") != F.col("_url")).drop("_url")
+
+
 def numbered(df: DataFrame, group: str, order: str, width: int = 1 << 16) -> DataFrame:
     """Add ``_rn``, from 0, by the whole number ``order`` within ``group``, also where a group is most of the table.
 

@@ -68,9 +68,9 @@ def run(sources: list[tuple[str, DataFrame]], history: DataFrame, settings: Sett
     counts = passed.get | collected.get
     funnel = scored.sparkSession.createDataFrame([(counts["fresh"], counts["hot"], counts["collected"])], "fresh long, hot long, collected long")
     if s.block is None:
-        events = relations.representatives(clusters.cluster(scored, threshold=s.threshold), ["cluster"])
+        events = relations.representative_rows(clusters.cluster(scored, threshold=s.threshold), ["cluster"])
     else:
-        events = relations.representatives(relations.cluster_titles(scored, [s.block], s.threshold), [s.block, "cluster"])
+        events = relations.representative_rows(relations.cluster_titles(scored, [s.block], s.threshold), [s.block, "cluster"])
     evidence = text.squeeze(F.concat_ws(" ", "title", "snippet", "content"))
     kept = events.filter(scoring.enough_evidence(evidence, c("source"), c("category"), c("cluster_size")))
     clean = kept.withColumn("content", text.clean_text(text.pick_content(c("content"), c("snippet"))))

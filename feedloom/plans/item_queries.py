@@ -88,7 +88,7 @@ def revisions(spark, sf_dir):
     reviews = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("url")).agg(F.max("quality").alias("q"), F.max("toxic").alias("t"))
     reviews = reviews.select("url", F.when(F.col("q") == 0, "revise").otherwise("publish").alias("action"), (1 - F.col("t")).alias("fixable"))
     given = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("body"))
-    given = docs.select("url").join(F.broadcast(given), F.col("url") % 50 == F.col("item_id")).select("url", "body")  # the benchmark's items
+    given = docs.select("url").join(given, F.col("url") % 50 == F.col("item_id")).select("url", "body")
     return ops.revise(docs, reviews, given, {"body": 40}).select(F.col("url").alias("doc_id"), "body")
 
 
@@ -100,7 +100,7 @@ def value_histogram(spark, sf_dir):
 
 @query("SELECT c_custkey, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 8 AS chunk FROM customer")
 def reply_batches(spark, sf_dir):
-    return ops.chunked(table(spark, sf_dir, "customer"), 8, ["c_nationkey"], ["c_custkey"]).select("c_custkey", "chunk")
+    return ops.chunked(table(spark, sf_dir, "customer"), 8, "c_nationkey", "c_custkey").select("c_custkey", "chunk")
 
 
 @query(f"""SELECT ordinal, url, trim(title) AS title, substr(trim(snippet), 1, 150) AS snippet FROM ({ITEMS}) WHERE ordinal % 4 <> 3""")

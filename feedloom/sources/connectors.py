@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.scoring import release_score, signal_score
 from feedloom.functions.terms import find_terms, term_names
-from feedloom.functions.text import squeeze, star_count, strip_html
+from feedloom.functions.text import any_hit, squeeze, star_count, strip_html
 from feedloom.operators.relations import first_per
 from feedloom.operators.staging import stage
 
@@ -77,6 +77,61 @@ def feed_items(items: DataFrame, source: str, per_source: int | None = None) ->
     return rows.orderBy("ordinal").limit(per_source) if per_source else rows
 
 
+# Sections of the curated feed and what they are called.
+SECTIONS = {
+    "ai-models": "模型发布",
+    "ai-products": "产品发布",
+    "industry": "行业动态",
+    "paper": "论文研究",
+    "tip": "技巧与观点",
+}
+NO_SECTION = "未分类"
+
+
+def curated_items(items: DataFrame, source: str, cap: int) -> DataFrame:
+    """The first ``cap`` items of the curated feed, with ``original_url, section, section_name, score, selected``; rows without a url go."""
+    few = items.orderBy("ordinal").limit(cap)
+    names = F.create_map(*[F.lit(v) for pair in SECTIONS.items() for v in pair])
+    section = F.coalesce(_field("item", "category"), F.lit(""))
+    more = {
+        "original_url": _field("item", "url"),
+        "section": section,
+        "section_name": F.coalesce(F.try_element_at(names, section), F.lit(NO_SECTION)),
+        "score": _field("item", "score").try_cast("double"),
+        "selected": F.coalesce(_field("item", "selected").try_cast("boolean"), F.lit(False)),
+    }
+    summary = F.coalesce(_field("item", "summary"), F.lit(""))
+    own = few.filter(_field("item", "url").isNotNull())
+    return own.select(
+        _field("item", "permalink", "url").alias("url"),
+        F.coalesce(_field("item", "title"), F.lit("")).alias("title"),
+        summary.alias("snippet"),
+        summary.alias("content"),
+        F.lit(source).alias("source"),
+        _field("item", "published_at", "publishedAt").alias("publish_time"),
+        "ordinal",
+        *[c.alias(n) for n, c in more.items()],
+    )
+
+
+# Words that put an entry of the news feed on the subject.
+NEWS_SUBJECT = [
+    "ai", "大模型", "llm", "gpt", "chatgpt", "claude", "gemini", "智能",
+    "machine learning", "deep learning", "神经网络", "transformer",
+    "agent", "智能体", "prompt", "微调", "训练", "推理",
+    "sora", "midjourney", "stable diffusion", "生成式", "aigc",
+    "openai", "anthropic", "google ai", "deepmind", "百度", "阿里",
+    "腾讯", "字节", "智谱", "月之暗面", "minimax",
+]
+
+
+def on_subject(entries: DataFrame, cap: int, words: list[str] | None = None, first: int = 20) -> DataFrame:
+    """The first ``cap`` of a feed's first entries whose title or snippet holds one of the words; snippets are cut at 300."""
+    few = entries.orderBy("ordinal").limit(first)
+    near = few.filter(any_hit(F.concat_ws(" ", "title", "snippet"), words or NEWS_SUBJECT))
+    return near.withColumns({"content": F.col("snippet"), "snippet": F.substring("snippet", 1, 300)}).orderBy("ordinal").limit(cap)
+
+
 def social_items(items: DataFrame) -> DataFrame:
     """Items of a social search: platform and engagement under any of their aliases."""
     engagement = F.coalesce(_field("item", "engagement", "score", "points", "likes", "upvotes").try_cast("double"), F.lit(0.0))
@@ -222,3 +277,5 @@ register("feed", lambda spark, o: feed_items(json_items(spark.read.text(o["path"
 register("rss", lambda spark, o: rss(spark, o["path"], o["source"]).select(*COLUMNS))
 register("links", lambda spark, o: link_lines(spark.read.text(o["path"], wholetext=True).withColumnRenamed("value", "raw"), o["source"]).select(*COLUMNS))
 register("markdown", lambda spark, o: front_matter(spark.read.text(o["path"], wholetext=True).withColumnRenamed("value", "raw"), o["source"]).select(*COLUMNS))
+register("curated", lambda spark, o: curated_items(json_items(spark.read.text(o["path"], wholetext=True).withColumnRenamed("value", "raw")), o["source"], o.get("cap", 20)).select(*COLUMNS))
+register("news", lambda spark, o: on_subject(rss(spark, o["path"], o["source"]), o.get("cap", 6), o.get("words")).select(*COLUMNS))
