@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import stage
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest node reachable from each node of ``edges`` (``a, b`` long).
 
     Returns ``node, root`` for every node that occurs in an edge.  A round
@@ -21,9 +21,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     both = stage(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b"), "both")
     tree = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("n")).select("node", F.least("node", "n").alias("root")), "tree")
     total = tree.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
-    for _ in range(max_rounds):
-        if total is None:
-            break
+    while total is not None:
         up = tree.select(F.col("node").alias("_n"), F.col("root").alias("grand"))
         jumped = stage(tree.join(up, tree["root"] == up["_n"]).select("node", "root", "grand"), "jumped")
         seen = jumped.select(F.col("node").alias("_n"), F.col("grand"))
@@ -39,6 +37,4 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         if now == total:
             return tree
         total = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return tree

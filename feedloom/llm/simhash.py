@@ -46,6 +46,8 @@ SEED = 42
 SHINGLE = 3
 #: Homes of one anchor that are compared directly.
 HOMES = 128
+#: Distinct fingerprints of a task that replicates them.
+TASK_ROWS = 1 << 15
 #: Generator polynomial of the binary Golay code of length 23.
 GOLAY = 0b110001110101
 #: Differing bits of a link.
@@ -187,7 +189,9 @@ def links(fps: DataFrame, homes: int = HOMES) -> DataFrame:
     at_home = fps.select("fp").mapInArrow(_home, T.StructType([pair["anchor"], T.StructField("home_fp", T.LongType())]))
     first = at_home.withColumn("rn", F.row_number().over(Window.partitionBy("anchor").orderBy("home_fp"))).filter(F.col("rn") <= homes + 1)
     lists = stage(first.groupBy("anchor").agg(F.collect_list("home_fp").alias("homes")), "homes").withColumnRenamed("anchor", "_anchor")
-    placed = fps.select("fp").mapInArrow(_replicate, pair)
+    # each makes some 200 anchor rows: deal them out by number, however few files hold them
+    tasks = max(fps.sparkSession.sparkContext.defaultParallelism, -(-fps.count() // TASK_ROWS))
+    placed = fps.select("fp").repartition(tasks, "fp").mapInArrow(_replicate, pair)
     met = placed.join(lists, placed["anchor"] == lists["_anchor"])
     near = F.filter("homes", lambda h: (h < F.col("fp")) & (F.bit_count(h.bitwiseXOR(F.col("fp"))) <= 2))
     many = F.size("homes") > homes

@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -99,27 +99,32 @@ def histogram(counts: DataFrame, block: int = 64) -> DataFrame:
     )
 
 
+def _answers(hist: DataFrame, name: str, asked: list, kind: str, found: list[Column]) -> DataFrame:
+    """One row per question from one aggregate over the histogram, an expression each."""
+    told = F.array(*[F.struct(F.lit(q).cast(kind).alias(name), e.alias("got")) for q, e in zip(asked, found, strict=True)]) if asked else F.array().cast(f"array<struct<{name}: {kind}, got: string>>")
+    return hist.agg(told.alias("told")).select(F.explode("told").alias("x")).select(f"x.{name}", "x.got")
+
+
 def totals(hist: DataFrame, contexts: list[int]) -> DataFrame:
-    """``context, tokens, truncated_docs`` for each context limit, from the histogram alone."""
-    spark = hist.sparkSession
-    limits = spark.createDataFrame([(int(c),) for c in contexts], "context long")
-    cut = F.least("length", "context")
-    return (
-        hist.crossJoin(F.broadcast(limits))  # a stated list of limits
-        .groupBy("context")
-        .agg(F.sum(cut * F.col("n_docs")).alias("tokens"), F.sum(F.when(F.col("length") > F.col("context"), F.col("n_docs")).otherwise(0)).alias("truncated_docs"))
-    )
+    """``context, tokens, truncated_docs`` for each context limit.
+
+    The suffix sums of the next longer length answer a limit: what lies above
+    it is cut to the limit, the rest is whole.  Limits without documents have 0.
+    """
+    whole, none = F.coalesce(F.max("tokens_at_least"), F.lit(0)), F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("t"))
+
+    def above(limit: int) -> Column:
+        longer = F.col("length") > limit
+        got = F.coalesce(F.min_by(F.when(longer, F.struct(F.col("docs_at_least").alias("d"), F.col("tokens_at_least").alias("t"))), F.when(longer, F.col("length"))), none)
+        return F.struct((whole - got["t"] + limit * got["d"]).alias("tokens"), got["d"].alias("truncated_docs"))
+
+    return _answers(hist, "context", [int(c) for c in contexts], "long", [above(int(c)) for c in contexts]).select("context", "got.tokens", "got.truncated_docs")
 
 
 def quantiles(hist: DataFrame, at: list[float]) -> DataFrame:
-    """``quantile, length``: the smallest length that holds at least that share of documents."""
-    spark = hist.sparkSession
-    asked = spark.createDataFrame([(float(q),) for q in at], "quantile double")
-    whole = hist.agg(F.sum("n_docs").alias("all_docs"))
-    return (
-        hist.crossJoin(F.broadcast(whole))
-        .crossJoin(F.broadcast(asked))
-        .filter(F.col("docs_up_to") >= F.col("quantile") * F.col("all_docs"))
-        .groupBy("quantile")
-        .agg(F.min("length").alias("length"))
-    )
+    """``quantile, length``: the smallest length that holds at least that share of documents; no row for an empty table."""
+    docs = hist.agg(F.max("docs_up_to")).first()[0]
+    if docs is None:
+        return hist.sparkSession.createDataFrame([], "quantile double, length long")
+    first = [F.min(F.when(F.col("docs_up_to") >= float(q) * docs, F.col("length"))) for q in at]
+    return _answers(hist, "quantile", [float(q) for q in at], "double", first).select("quantile", F.col("got").alias("length")).filter("length is not null")
