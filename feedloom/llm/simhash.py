@@ -192,7 +192,8 @@ def links(fps: DataFrame, homes: int = HOMES) -> DataFrame:
     # each makes some 200 anchor rows: deal them out by number, however few files hold them
     tasks = max(fps.sparkSession.sparkContext.defaultParallelism, -(-fps.count() // TASK_ROWS))
     placed = fps.select("fp").repartition(tasks, "fp").mapInArrow(_replicate, pair)
-    met = placed.join(lists, placed["anchor"] == lists["_anchor"])
+    # the planner takes the anchor rows for as few as the fingerprints they come from: never broadcast them
+    met = placed.hint("merge").join(lists, placed["anchor"] == lists["_anchor"])
     near = F.filter("homes", lambda h: (h < F.col("fp")) & (F.bit_count(h.bitwiseXOR(F.col("fp"))) <= 2))
     many = F.size("homes") > homes
     met = stage(
