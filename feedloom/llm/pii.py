@@ -1,14 +1,21 @@
 """Personal data: base patterns, and identifiers found by bootstrapped contexts.
 
-Entities of the base patterns are the seeds, whatever their form.  Every other
-token with a digit is a possible identifier.  The one or two words before either
-are its cues, without a trailing colon or equals sign, and a word that such a
-sign glues to it.  Cues and
-identifiers form a graph.  A cue's confidence is the share of all its
-occurrences in the corpus that are followed by an identifier believed in; an
-identifier's is 1 for a seed, else the noisy-or of its trusted cues.  The two
-are computed in turns, as joins over the graph.  What follows a cue that ends
-up trusted is reported as kind ``context``.
+Entities of the base patterns are the seeds, whatever their form.  A possible
+identifier is any other token with a digit, or a run of up to ``TOKENS`` such
+tokens parted by single spaces.  The one or two words before either are its
+cues, without a trailing colon or equals sign, and a word that such a sign
+glues to it.  Cues and identifiers form a graph.  A cue's confidence is the
+share of all its occurrences in the corpus that are followed by an identifier
+believed in; an identifier's is 1 for a seed, else the noisy-or of its trusted
+cues.  The two are computed in turns, as joins over the graph, until nothing
+changes any more: both only grow.  What follows a cue that ends up trusted is
+reported as kind ``context``.
+
+How far it reaches is learnt as well: a run's shape (digits, capitals and small
+letters as such) counts if ``SUPPORT`` different identifiers behind trusted
+cues have it.  Of the runs that start at one place the longest of such a shape
+is reported, else its first token where that may be an identifier alone, else
+the whole run; what follows a glued word goes before the token with that word.
 
 The cues' occurrences are counted over all texts, so a word such as "the",
 which ordinary words follow, is never trusted.
@@ -22,8 +29,12 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import BROADCAST_ROWS, bound, broadcast_checked, stage
 from feedloom.llm.spans import Kind, apart, digest, scan
 
-#: A cue is trusted from this confidence and so many different believed identifiers; rounds of scoring.
-TRUST, SUPPORT, ROUNDS = 0.8, 3, 3
+#: A cue is trusted from this confidence and so many different believed identifiers; a shape counts from as many.
+TRUST, SUPPORT = 0.8, 3
+#: Tokens of a possible identifier.
+TOKENS = 5
+#: Confidences that change by less, summed over all cues, have settled.
+SETTLED = 1e-6
 
 _GAP = r"\x20\x09-\x0D"
 #: An address starts where a run of its characters starts, or at the last match's end; nothing in between can match.
@@ -33,8 +44,10 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: Runs of digits parted by single spaces or hyphens; a single digit fails the count.
 CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Up to two words without digits, then a token with one.  It starts at a token's start, and what each part takes ends where the next may start, so nothing is tried twice.
-TOKEN = rf"(?<![^{_GAP}])(?:[^{_GAP}0-9]++[{_GAP}]++){{0,2}}+[^{_GAP}0-9]*+[0-9][^{_GAP}]*+"
+#: A token with a digit.
+_WORD = rf"[^{_GAP}0-9]*+[0-9][^{_GAP}]*+"
+#: Up to two words without digits, then a run of tokens with one; a token that ends in a sign ends the run.  It starts at a token's start, and what each part takes ends where the next may start, so nothing is tried twice.
+TOKEN = rf"(?<![^{_GAP}])(?:[^{_GAP}0-9]++[{_GAP}]++){{0,2}}+{_WORD}(?:(?<=[A-Za-z0-9)/-])\x20{_WORD}){{0,{TOKENS - 1}}}+"
 
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _IP_OK = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
@@ -85,26 +98,48 @@ def _seed(s: Column) -> Column:
 
 
 def _possible(s: Column) -> Column:
-    """``start, end, instance, cues`` of what a token may hold: all of it, and what follows a glued word."""
+    """What the tokens of a match may hold, each prefix of the run: all of it, and what follows a glued word.
 
-    def part(token: Column, skip: Column, cues: Column) -> Column:
-        rest = F.substring(token, skip + 1, F.length(token))
-        whole = lambda t: F.struct(t.alias("text"), F.regexp_extract(t, r"(?s)[A-Za-z0-9+](?:.*[A-Za-z0-9])?", 0).alias("instance"))
+    ``start, end, instance, cues`` with ``site`` (where the run starts),
+    ``glued``, ``tokens`` and ``first``, the shortest of its kind at the site,
+    which stands for it in the graph.
+    """
+    whole = lambda t: F.regexp_extract(t, r"(?s)[A-Za-z0-9+](?:.*[A-Za-z0-9])?", 0)
+
+    def part(run: Column, skip: Column, cues: Column, glued: int) -> Column:
+        site = s["end"] - F.length(run)
+
+        def prefixes(words: Column) -> Column:
+            def prefix(n: Column) -> Column:
+                text = F.substring(F.array_join(F.slice(words, 1, n), " "), skip + 1, F.length(run))
 
-        def placed(r: Column) -> Column:
-            at = s["end"] - F.length(r["text"]) + F.instr(r["text"], r["instance"]) - 1
-            return F.struct(at.alias("start"), (at + F.length(r["instance"])).alias("end"), r["instance"].alias("instance"), cues.alias("cues"))
+                def placed(r: Column) -> Column:
+                    at = site + skip + F.instr(r["text"], r["instance"]) - 1
+                    return F.struct(
+                        at.alias("start"), (at + F.length(r["instance"])).alias("end"), r["instance"].alias("instance"), cues.alias("cues"),
+                        site.alias("site"), F.lit(glued).alias("glued"), n.alias("tokens"),
+                    )
 
-        return bound(bound(rest, whole), placed)
+                return bound(F.struct(text.alias("text"), whole(text).alias("instance")), placed)
 
-    def parts(token: Column) -> Column:
-        lead = F.substring(s["match"], F.lit(1), F.length(s["match"]) - F.length(token))
+            return F.transform(F.sequence(F.lit(1), F.size(words)), prefix)
+
+        usable = F.filter(bound(F.split(run, " "), prefixes), lambda x: (F.length(x["instance"]) >= 4) & x["instance"].rlike("[0-9]"))
+        return F.transform(usable, lambda x, i: x.withField("first", i == 0))
+
+    def parts(run: Column) -> Column:
+        lead = F.substring(s["match"], F.lit(1), F.length(s["match"]) - F.length(run))
         before = _cues(F.lower(F.trim(F.regexp_replace(lead, rf"[{_GAP}]+", " "))))
-        prefix = F.regexp_extract(token, "^([^0-9:=]+)[:=]+", 0)
-        own = lambda p: F.when(p != "", part(token, F.length(p), F.array(F.lower(F.regexp_replace(p, "[:=]+$", "")))))
-        return F.array_compact(F.array(part(token, F.lit(0), before), bound(prefix, own)))
+        prefix = F.regexp_extract(run, "^([^0-9:=]+)[:=]+", 0)
+        own = lambda p: F.when(p != "", part(run, F.length(p), F.array(F.lower(F.regexp_replace(p, "[:=]+$", ""))), 1)).otherwise(F.filter(part(run, F.lit(0), before, 0), lambda x: F.lit(False)))
+        return F.concat(part(run, F.lit(0), before, 0), bound(prefix, own))
+
+    return bound(F.regexp_replace(s["match"], rf"^(?:[^{_GAP}0-9]++[{_GAP}]++)*+", ""), parts)
 
-    return F.filter(bound(F.regexp_extract(s["match"], rf"[^{_GAP}]+$", 0), parts), lambda x: (F.length(x["instance"]) >= 4) & x["instance"].rlike("[0-9]"))
+
+def shape(instance: Column) -> Column:
+    """Digits, capitals and small letters as such; other characters stay."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(instance, "[0-9]", "9"), "[A-Z]", "A"), "[a-z]", "a")
 
 
 def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,7 +152,7 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def edges(rows: DataFrame) -> DataFrame:
     """``cue, instance, n, seed``: how often a cue precedes an instance."""
-    nodes = F.concat("seeds", F.transform("maybe", lambda x: F.struct(x["instance"].alias("instance"), F.lit(False).alias("seed"), x["cues"].alias("cues"))))
+    nodes = F.concat("seeds", F.transform(F.filter("maybe", lambda x: x["first"]), lambda x: F.struct(x["instance"].alias("instance"), F.lit(False).alias("seed"), x["cues"].alias("cues"))))
     flat = rows.select(F.explode(nodes).alias("x")).select("x.instance", "x.seed", F.explode("x.cues").alias("cue"))
     return flat.filter("cue <> ''").groupBy("cue", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
 
@@ -142,24 +177,41 @@ def cue_counts(docs: DataFrame, cues: DataFrame, text_col: str = "text", limit:
     return counted.join(cues, counted["_cue"] == cues["cue"]).select("cue", "total")
 
 
-def trusted_cues(edges: DataFrame, totals: DataFrame, trust: float = TRUST, support: int = SUPPORT, rounds: int = ROUNDS) -> DataFrame:
-    """``cue`` of those trusted after ``rounds`` turns.
+def trusted_cues(edges: DataFrame, totals: DataFrame, trust: float = TRUST, support: int = SUPPORT) -> DataFrame:
+    """``cue`` of those trusted once the turns have settled.
 
     ``edges``: ``cue, instance, n, seed`` (staged); ``totals``: ``cue, total``
     (staged) of the cues with enough different instances to be trusted at all.
+    Beliefs and confidences only grow from turn to turn and are at most 1, so
+    the turns end.
     """
-    scored = edges.select("cue", "instance", "n", "seed", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("belief"))
-    for turn in range(rounds):
+    scored, before = edges.select("cue", "instance", "n", "seed", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("belief")), None
+    while True:
         sums = scored.groupBy("cue").agg(F.sum(F.col("n") * F.col("belief")).alias("mass"), F.count_if(F.col("belief") >= 0.5).alias("support"))
         good = sums.join(totals, "cue").withColumn("confidence", F.least(F.lit(0.999), F.col("mass") / F.col("total")))
         good = stage(good.filter((F.col("support") >= support) & (F.col("confidence") >= trust)).select(F.col("cue").alias("_cue"), "confidence"), "trusted")
-        if turn == rounds - 1 or good.isEmpty():
-            break
+        now = good.agg(F.count("*"), F.coalesce(F.sum("confidence"), F.lit(0.0))).first()
+        if not now[0] or (before is not None and now[0] == before[0] and abs(now[1] - before[1]) < SETTLED):
+            return good.select(F.col("_cue").alias("cue"))
+        before = now
         doubt = edges.join(good, edges["cue"] == good["_cue"]).groupBy(F.col("instance").alias("_i")).agg(F.exp(F.sum(F.log1p(-F.col("confidence")))).alias("doubt"))
         doubt = stage(doubt, "beliefs")
         belief = F.when(F.col("seed"), 1.0).otherwise(1.0 - F.coalesce("doubt", F.lit(1.0)))
         scored = edges.join(doubt, edges["instance"] == doubt["_i"], "left").select("cue", "instance", "n", "seed", belief.alias("belief"))
-    return good.select(F.col("_cue").alias("cue"))
+
+
+def reached(hits: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """``uid, start, end``: of the possible identifiers at each site behind a trusted cue the one whose length was learnt.
+
+    ``hits``: ``uid, site, glued, tokens, start, end, instance`` (staged).
+    """
+    shaped = hits.withColumn("shape", shape(F.col("instance")))
+    longer = shaped.filter("tokens > 1").select("shape", "instance").distinct()
+    known = longer.groupBy("shape").agg(F.count("*").alias("k")).filter(F.col("k") >= support).select(F.col("shape").alias("_shape"))
+    met = shaped.join(known, shaped["shape"] == known["_shape"], "left")
+    learnt = (F.col("tokens") == 1) | F.col("_shape").isNotNull()
+    best = met.groupBy("uid", "site").agg(F.max_by(F.struct("start", "end"), F.struct("glued", learnt, "tokens")).alias("s"))
+    return best.select("uid", "s.start", "s.end")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,8 +230,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     none = F.array().cast(rows.schema["own"].dataType)
     if good.isEmpty():
         return digest(rows.withColumn("added", none), NAMES, BASE, by_kind=True)
-    hits = rows.select("uid", F.explode("maybe").alias("x")).select("uid", "x.start", "x.end", F.explode("x.cues").alias("_cue"))
-    hits = hits.join(broadcast_checked(good), hits["_cue"] == good["cue"]).select(F.col("uid").alias("_uid"), span.alias("s"))
+    sites = ["site", "glued", "tokens", "start", "end", "instance"]
+    hits = rows.select("uid", F.explode("maybe").alias("x")).select("uid", *[f"x.{c}" for c in sites], F.explode("x.cues").alias("_cue"))
+    hits = stage(hits.join(broadcast_checked(good), hits["_cue"] == good["cue"]).select("uid", *sites).distinct(), "hits")
+    hits = reached(hits).select(F.col("uid").alias("_uid"), span.alias("s"))
     found = stage(hits.groupBy("_uid").agg(F.collect_set("s").alias("added")), "added")  # one document's spans
     both = rows.select("uid", "doc_id", "own").join(broadcast_checked(found), F.col("uid") == F.col("_uid"), "left")
     return digest(both.withColumn("added", F.coalesce("added", none)), NAMES, BASE, by_kind=True)

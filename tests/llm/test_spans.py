@@ -125,6 +125,90 @@ def test_contexts_have_no_length_limits(spark):
         assert found == [{100: long, 101: lead, 102: "AB-12"}[i]]
 
 
+def contexts(spark, rows):
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    return {i: [text[int(a) : int(b)] for k, a, b in (x.split(":") for x in got[i].split(",") if x) if k == "context"] for i, text in rows}
+
+
+def test_identifiers_of_several_tokens(spark):
+    """National numbers, grouped account numbers and single codes behind a cue that phones make trusted."""
+    rng = random.Random(12)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    marks = [f"+49 ({digits(3)}) {digits(3)}-{digits(4)}" for _ in range(180)] + [f"QX-{digits(4)}" for _ in range(10)] + [f"030 {digits(4)} {digits(4)}" for _ in range(10)]
+    marks += [f"DE{digits(2)} K{digits(3)} K{digits(3)} K{digits(3)} {digits(2)}" for _ in range(10)]  # no card by chance
+    rows = [(i, f"it was long. call {m} and so on") for i, m in enumerate(marks)]
+    rows += [(900, "it was long. call QX-7001 12 apples and so on"), (901, "it was long. call 030 1234 5678, 12 apples"), (902, "call"), (903, "it was long. call +49 (030) 555-7713 7 times")]
+    got = contexts(spark, rows)
+    for i, m in enumerate(marks):
+        assert got[i] == ([] if m.startswith("+") else [m])
+    assert got[900] == ["QX-7001"] and got[901] == ["030 1234 5678"] and got[902] == got[903] == []
+
+
+def test_recall_by_kind_behind_planted_cues(spark, tables):
+    """Codes, national numbers, account numbers and user numbers amid the table's own texts, an eighth of the marks being none of the base kinds."""
+    rng = random.Random(6)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    kinds = {
+        "code": lambda: f"QX-{digits(5)}-Z",
+        "phone": lambda: f"0{digits(3)} {digits(4)} {digits(3)}",
+        "account": lambda: f"DE{digits(2)} K{digits(3)} K{digits(3)} K{digits(3)} {digits(2)}",
+        "user": lambda: f"user_{digits(6)}",
+    }
+    seeds = [lambda: f"u{digits(6)}@mail.org", lambda: f"+49 ({digits(3)}) {digits(3)}-{digits(4)}"]
+    cues = ["reach line", "kontakt unter", "member id:", "appeler"]
+    docs = spark.read.parquet(f"{tables}/documents.parquet").select("text").limit(192).collect()
+    rows, planted = [], {}
+    for i, r in enumerate(docs):
+        words = r["text"].split(" ")[:80]
+        at = rng.randrange(len(words) + 1)
+        kind = None if i % 8 else list(kinds)[i // 8 % 4]
+        mark = kinds[kind]() if kind else rng.choice(seeds)()
+        rows.append((i, " ".join([*words[:at], cues[i % 7 % 4], mark, "wordy", *words[at:]])))
+        if kind:
+            planted[i] = (kind, mark)
+    got = contexts(spark, rows)
+    recall = {k: sum(m in got[i] for i, (kind, m) in planted.items() if kind == k) / sum(kind == k for kind, _ in planted.values()) for k in kinds}
+    assert min(recall.values()) >= 0.9, recall
+
+
+def plain_trusted(edges, totals):
+    """The graph's scores by loops, to the fixpoint."""
+    seeds = {i for _, i, _, seed in edges if seed}
+    belief, trusted = {i: float(i in seeds) for _, i, _, _ in edges}, {}
+    while True:
+        mass, support = {}, {}
+        for cue, i, n, _ in edges:
+            mass[cue] = mass.get(cue, 0.0) + n * belief[i]
+            support[cue] = support.get(cue, 0) + (belief[i] >= 0.5)
+        now = {c: min(0.999, mass[c] / totals[c]) for c in mass if c in totals and support[c] >= pii.SUPPORT and mass[c] / totals[c] >= pii.TRUST}
+        if now.keys() == trusted.keys() and sum(abs(now[c] - trusted[c]) for c in now) < 1e-9:
+            return set(now)
+        trusted = now
+        for i in belief:
+            doubt = 1.0
+            for cue, j, _, _ in edges:
+                if i == j and cue in trusted:
+                    doubt *= 1 - trusted[cue]
+            belief[i] = 1.0 if i in seeds else 1.0 - doubt
+
+
+def test_scores_are_those_of_plain_loops_at_the_fixpoint(spark):
+    """A chain of cues, each trusted only by what the one before made believed, longer than any fixed number of turns."""
+    rng = random.Random(3)
+    edges = [("c0", f"s{i}", 3, True) for i in range(4)]
+    for k in range(7):
+        edges += [(f"c{k}", f"i{k}{j}", 1, False) for j in range(2)] + [(f"c{k + 1}", f"i{k}{j}", 6, False) for j in range(2)] + [(f"c{k + 1}", f"x{k}", 1, True)]
+    edges += [(f"n{rng.randrange(5)}", f"i{rng.randrange(7)}{rng.randrange(2)}", 1, False) for _ in range(9)]
+    edges = list({(c, i): (c, i, n, s) for c, i, n, s in edges}.values())
+    totals = {c: sum(n for d, _, n, _ in edges if d == c) + (c.startswith("n")) for c in {e[0] for e in edges}}
+    from feedloom.llm.common import stage
+
+    graph = stage(spark.createDataFrame(edges, "cue string, instance string, n long, seed boolean"), "graph")
+    sums = stage(spark.createDataFrame(list(totals.items()), "cue string, total long"), "sums")
+    want = plain_trusted(edges, totals)
+    assert {"c0", "c7"} <= want and {r["cue"] for r in pii.trusted_cues(graph, sums).collect()} == want
+
+
 def test_cues_are_counted_alike_beyond_a_broadcast(spark):
     docs = spark.createDataFrame([(1, "call me at: 5 call me"), (2, None), (3, "call:7 Me at")], "doc_id long, text string")
     cues = spark.createDataFrame([("call",), ("call me",), ("me at",), ("none",)], "cue string")
