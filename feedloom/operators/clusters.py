@@ -57,7 +57,7 @@ def _tokens(keys: DataFrame, threshold: float, scale: float) -> DataFrame:
 
     Kind 0 are bigrams, kind 1 characters.  A key of one kind without tokens has none.
     """
-    each = keys.select("at", "last", F.explode(F.array(F.struct(F.lit(0).alias("kind"), bigrams(F.col("key")).alias("t")), F.struct(F.lit(1).alias("kind"), _characters(F.col("key")).alias("t")))).alias("k"))
+    each = keys.select("at", "last", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("grams").alias("t")), F.struct(F.lit(1).alias("kind"), F.col("chars").alias("t")))).alias("k"))
     flat = each.select("at", "last", "k.kind", F.size("k.t").alias("size"), F.explode("k.t").alias("token"))
     often = stage(flat.groupBy("kind", "token").agg(F.count("*").alias("often")), "token-counts")
     ranked = flat.join(broadcast_checked(often), ["kind", "token"])
@@ -93,17 +93,32 @@ def _pairs(earlier: DataFrame, later: DataFrame, threshold: float, scale: float,
 
 
 def _verified(pairs: DataFrame, keys: DataFrame, threshold: float, scale: float) -> DataFrame:
-    """``head, item, similarity`` of the pairs that reach the threshold, as the rule compares them."""
-    named = keys.select("at", "key")
-    rows = pairs.join(named.withColumnsRenamed({"at": "head", "key": "head_key"}), "head").join(named.withColumnsRenamed({"at": "item", "key": "item_key"}), "item")
+    """``head, item, similarity`` of the pairs that reach the threshold, as the rule compares them.
+
+    Common bigrams and characters are counted first, so that only pairs that
+    can reach it by what they have in common are compared letter by letter.
+    """
+    columns = ["key", "grams", "chars"]
+    named = lambda side: keys.select(F.col("at").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns])
+    rows = pairs.join(named("head"), "head").join(named("item"), "item")
+    common = lambda c: F.size(F.array_intersect(f"head_{c}", f"item_{c}"))
+    size = lambda side, c: F.size(f"{side}_{c}")
+    covers = common("grams") >= (threshold / scale) * F.least(size("head", "grams"), size("item", "grams")) - EPS
+    alike = 2 * common("chars") >= threshold * (size("head", "chars") + size("item", "chars")) - EPS
+    rows = rows.filter((F.least(size("head", "grams"), size("item", "grams")) > 0) & covers | alike)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grams: dict[str, set[str]] = {}
         for rows in batches:
             found = []
+            if len(grams) > 100_000:
+                grams.clear()
             for (head, key), of in rows.groupby(["head", "head_key"], sort=False):
                 h = Head(key, head)
                 for item, other in zip(of["item"], of["item_key"], strict=True):
-                    s = h.beats(other, {other[i : i + 2] for i in range(len(other) - 1)}, threshold, 0.0, scale)
+                    if other not in grams:
+                        grams[other] = {other[i : i + 2] for i in range(len(other) - 1)}
+                    s = h.beats(other, grams[other], threshold, 0.0, scale)
                     if s is not None:
                         found.append((head, item, s))
             if found:
@@ -156,7 +171,7 @@ def head_edges(keys: DataFrame, threshold: float = THRESHOLD, scale: float = SCA
     ``keys``: ``key`` (distinct, not empty), ``at`` and ``last``, the first and
     last place of each.  Edges are given where the key comes again after the head.
     """
-    keys = stage(keys, "keys")
+    keys = stage(keys.withColumns({"grams": bigrams(F.col("key")), "chars": _characters(F.col("key"))}), "keys")
     tokens = stage(_tokens(keys, threshold, scale), "tokens")
     budget = max(pair_budget, PAIRS_PER_TITLE * keys.count())
     undecided, heads, edges = keys.select("at"), None, None

@@ -43,6 +43,7 @@ def test_filters_lose_no_pair(spark):
     """Every pair of titles that reaches the threshold, in either direction, passes the filters."""
     keys = sorted({k for _, t, _ in titles(5, 160) for k in [(t or "").replace(" ", "").lower()] if k})
     df = spark.createDataFrame([(i, k, i) for i, k in enumerate(keys)], "at long, key string, last long")
+    df = df.withColumns({"grams": clusters.bigrams(F.col("key")), "chars": clusters._characters(F.col("key"))})
     tokens = clusters.stage(clusters._tokens(df, clusters.THRESHOLD, clusters.SCALE), "tokens")
     found = {(r["head"], r["item"]) for r in clusters._pairs(tokens, tokens, clusters.THRESHOLD, clusters.SCALE, both=True).collect()}
     want = {(i, j) for i, a in enumerate(keys) for j, b in enumerate(keys) if i < j and max(relations.similarity(a, b), relations.similarity(b, a)) >= clusters.THRESHOLD}
