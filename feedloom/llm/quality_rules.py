@@ -15,10 +15,10 @@ shared among the strata (Bonferroni): with confidence ``1 - DOUBT`` no stratum
 rejects more than ``RISK`` of its good documents.  A stratum with too few
 labels to show it has no cutoff and its documents pass.
 
-The test supposes independent draws, and copies are none: a group of exact or
-near copies among the labelled documents (SimHash fingerprints within two
-bits, over links) has one vote, that of its smallest id, and so falls into one
-half.  What is bounded is the share of such groups.
+The test supposes independent draws, and copies are none: equal texts among the
+labelled documents have one vote, that of their smallest id, and so fall into
+one half.  What is bounded is the share of different texts.  Near copies still
+count each.
 """
 
 from __future__ import annotations
@@ -32,9 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm import simhash
 from feedloom.llm.common import broadcast_checked, lookup, stage
-from feedloom.llm.components import connected_components
 
 RISK, DOUBT = 0.03, 0.05
 #: Grid points between a rule's cutoff and the strictest one that rejects no good document; then the shares of them that may be rejected.
@@ -115,19 +113,18 @@ def measures(text: str | None) -> tuple[list[int], list[float]]:
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """``doc_id, stratum``, the counts, one risk value per rule and the fingerprint of each document."""
-    names = ["doc_id", "stratum", *COUNTS, *RULES, "fp"]
+    """``doc_id, stratum``, the counts, one risk value per rule and a hash of the text of each document."""
+    names = ["doc_id", "stratum", *COUNTS, *RULES, "text_hash"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [measures(t.as_py()) for t in b.column(2)]
             counts = [pa.array([g[0][i] for g in got], pa.int64()) for i in range(len(COUNTS))]
             risks = [pa.array([g[1][i] for g in got], pa.float64()) for i in range(len(RULES))]
-            prints = np.fromiter((simhash.fingerprint(t.as_py()) for t in b.column(2)), dtype=np.uint64, count=b.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *counts, *risks, pa.array(prints)], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *counts, *risks, b.column(3)], names=names)
 
-    schema = "doc_id long, stratum string, " + ", ".join([f"{c} long" for c in COUNTS] + [f"{r} double" for r in RULES] + ["fp long"])
-    columns = (F.col(id_col).cast("long").alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).cast("string").alias("text"))
+    schema = "doc_id long, stratum string, " + ", ".join([f"{c} long" for c in COUNTS] + [f"{r} double" for r in RULES] + ["text_hash long"])
+    columns = (F.col(id_col).cast("long").alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
     return docs.select(*columns).mapInArrow(run, schema)
 
 
@@ -218,14 +215,9 @@ def marked_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def votes(marked: DataFrame) -> DataFrame:
-    """Of each group of copies among the marked rows the one with the smallest id."""
-    marked = stage(marked, "marked")
-    fps = stage(marked.select("fp").distinct(), "marked-fps")
-    roots = connected_components(simhash.links(fps)).withColumnRenamed("node", "fp")
-    grouped = lookup(marked, roots, ["fp"]).withColumn("_group", F.coalesce("root", "fp"))
-    # equal ids: rows that repeat an id have its label; the smallest row decides
-    one = grouped.groupBy("_group").agg(F.min(F.struct("doc_id", *[c for c in marked.columns if c != "doc_id"])).alias("vote"))
-    return one.select("vote.*")
+    """Of equal texts among the marked rows the one with the smallest id; of rows that repeat it the smallest."""
+    one = marked.groupBy("text_hash").agg(F.min(F.struct("doc_id", *[c for c in marked.columns if c not in ("doc_id", "text_hash")])).alias("vote"))
+    return one.select("vote.*", "text_hash")
 
 
 def verdicts(rows: DataFrame, limits: DataFrame) -> DataFrame:
