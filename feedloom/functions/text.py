@@ -303,7 +303,8 @@ def line_count(text: Column) -> Column:
 
 
 def first_line(text: Column) -> Column:
-    return F.coalesce(F.get(F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != ""), F.lit(0)), F.lit(""))
+    """The first line that is not blank, without spaces around it; the others are not looked at."""
+    return F.trim(F.substring_index(F.ltrim(F.coalesce(text, F.lit("")), F.lit(" \n")), "\n", 1))
 
 
 def epoch_seconds(value: Column) -> Column:

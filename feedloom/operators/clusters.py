@@ -15,6 +15,10 @@ threshold, which takes one of two things:
   titles' characters, counted with repeats, overlap by a known share: the same
   filter on both sides, and neither is much longer than the other.
 
+Where tokens are so common that this join would make more pairs than there are
+titles to compare, as in prose of a few languages, all pairs are compared
+instead, as arrays (:mod:`blocks`).
+
 Who is a head depends on earlier heads alone.  Titles are resolved in parts of
 the order: a part is as long as the pairs that its filters let through, counted
 before they are made, stay within a budget.  In a part, a title without an
@@ -29,6 +33,7 @@ one row too.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -37,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedloom.functions.text import bigrams, title_key
+from feedloom.operators import blocks
 from feedloom.operators.relations import Head
 from feedloom.operators.staging import bound, broadcast_checked, stage
 
@@ -44,6 +50,8 @@ THRESHOLD, SCALE = 0.72, 0.72 / 0.55
 #: Pairs before verification that a part may make, and at least this many for each title.
 PAIR_BUDGET, PAIRS_PER_TITLE = 20_000_000, 200
 EPS = 1e-9
+#: Titles by which the way to compare is chosen, and pairs of arrays that cost as much as a pair of rows.
+TRIED, PAIRS_PER_ROW = 2048, 4
 
 
 def _characters(key: Column) -> Column:
@@ -52,6 +60,10 @@ def _characters(key: Column) -> Column:
     return bound(F.array_sort(each), lambda chars: F.transform(chars, lambda c, i: F.concat(c, (i - F.array_position(chars, c) + 2).cast("string"))))
 
 
+def _with_tokens(keys: DataFrame) -> DataFrame:
+    return keys.withColumns({"grams": bigrams(F.col("key")), "chars": _characters(F.col("key"))})
+
+
 def _tokens(keys: DataFrame, threshold: float, scale: float) -> DataFrame:
     """``at, last, kind, token, place, size, probe``: a key's tokens, rarest first; ``probe`` marks its prefix.
 
@@ -165,27 +177,50 @@ def _first_part(undecided: DataFrame, tokens: DataFrame, budget: int) -> tuple[D
     return part, its
 
 
-def head_edges(keys: DataFrame, threshold: float = THRESHOLD, scale: float = SCALE, pair_budget: int = PAIR_BUDGET) -> tuple[DataFrame, DataFrame]:
+def tokens_are_common(keys: DataFrame, threshold: float = THRESHOLD, scale: float = SCALE) -> bool:
+    """Whether a join on tokens costs more than to compare all pairs, by some titles' tokens; the result is the same either way."""
+    some = stage(_with_tokens(keys.orderBy(F.xxhash64("key")).limit(TRIED)), "some-keys")
+    n = some.count()
+    return PAIRS_PER_ROW * _pairs_at_most(stage(_tokens(some, threshold, scale), "some-tokens")) > n * (n - 1) / 2
+
+
+def head_edges(keys: DataFrame, threshold: float = THRESHOLD, scale: float = SCALE, pair_budget: int = PAIR_BUDGET, by_blocks: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """``at`` of all heads; and ``head, item, similarity`` of each key and the heads that it reaches.
 
     ``keys``: ``key`` (distinct, not empty), ``at`` and ``last``, the first and
     last place of each.  Edges are given where the key comes again after the head.
+    ``by_blocks``: how titles are compared, where it is not left to :func:`tokens_are_common`.
     """
-    keys = stage(keys.withColumns({"grams": bigrams(F.col("key")), "chars": _characters(F.col("key"))}), "keys")
-    tokens = stage(_tokens(keys, threshold, scale), "tokens")
+    keys = stage(keys, "keys")
     budget = max(pair_budget, PAIRS_PER_TITLE * keys.count())
+    if by_blocks is None:
+        by_blocks = tokens_are_common(keys, threshold, scale)
+    if not by_blocks:
+        keys = stage(_with_tokens(keys), "keys-with-tokens")
+    # what is compared: keys as they are, or their tokens
+    each = keys.select("at", "last", "key") if by_blocks else stage(_tokens(keys, threshold, scale), "tokens")
+
+    def alike(earlier: DataFrame, later: DataFrame, both: bool) -> DataFrame:
+        if by_blocks:
+            return blocks.compared(earlier, later, threshold, scale, both)
+        return _verified(_pairs(earlier, later, threshold, scale, both), keys, threshold, scale)
+
     undecided, heads, edges = keys.select("at"), None, None
     while undecided.limit(1).count():
-        part, its = _first_part(undecided, tokens.join(undecided, "at", "left_semi") if heads is not None else tokens, budget)
-        part = stage(part, "part")
-        within = stage(_verified(_pairs(its, its, threshold, scale, both=True), keys, threshold, scale).select("head", "item"), "part-edges")
+        if by_blocks:
+            part = stage(undecided.orderBy("at").limit((1 + math.isqrt(1 + 8 * budget)) // 2), "part")
+            its = each.join(part, "at", "left_semi")
+        else:
+            part, its = _first_part(undecided, each.join(undecided, "at", "left_semi") if heads is not None else each, budget)
+            part = stage(part, "part")
+        within = stage(alike(its, its, both=True).select("head", "item"), "part-edges")
         new = stage(_heads_of_part(part, within), "part-heads")
-        mine = tokens.join(new, "at", "left_semi")
+        mine = each.join(new, "at", "left_semi")
         # what an earlier head claimed may still find a better one, unless it matches that head in full
-        rest = tokens.filter(F.col("last") > new.agg(F.min("at")).first()[0])
+        rest = each.filter(F.col("last") > new.agg(F.min("at")).first()[0])
         if edges is not None:
             rest = rest.join(edges.filter("similarity >= 1 and head < item").select(F.col("item").alias("at")).distinct(), "at", "left_anti")
-        claims = stage(_verified(_pairs(mine, rest, threshold, scale, both=False), keys, threshold, scale), "claims")
+        claims = stage(alike(mine, rest, both=False), "claims")
         heads = new if heads is None else heads.unionByName(new)
         edges = claims if edges is None else edges.unionByName(claims)
         claimed = claims.filter("head < item").select(F.col("item").alias("at")).distinct()
