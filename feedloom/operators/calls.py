@@ -19,6 +19,7 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,8 @@ from feedloom.operators.staging import stage
 #: Takes a request and its digest; gives the reply or raises.
 Call = Callable[[str, str], str]
 SETTLED = "digest string, reply string"
+#: Requests that a task's Python holds at a time; a request may be tens of kilobytes, and a call takes longer than a hand-over.
+AT_ONCE = 64
 
 
 class Loose:
@@ -70,6 +73,18 @@ def with_retries(call: Call, request: str, digest: str, attempts: int, wait: flo
     return None, error
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, n: int) -> Iterator[None]:
+    """What runs in here hands Python at most ``n`` rows at a time, however many a task has."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(n, int(before)) if int(before) > 0 else n)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class ReplyLog:
     """The replies of one service at ``path``, which all tasks reach; ``call`` travels with the tasks."""
 
@@ -98,7 +113,8 @@ class ReplyLog:
                     told.append((digest, reply, error))
                 yield pd.DataFrame(told, columns=["digest", "reply", "error"]).astype(object)
 
-        new = stage(todo.repartition(self.parallel).mapInPandas(run, "digest string, reply string, error string"), "replies")
+        with _batches_of(rows.sparkSession, AT_ONCE):
+            new = stage(todo.repartition(self.parallel).mapInPandas(run, "digest string, reply string, error string"), "replies")
         got = new.filter("reply is not null").select("digest", "reply")
         if got.limit(1).count():
             self.settled.write(got, uuid.uuid4().hex)

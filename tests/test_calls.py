@@ -4,6 +4,7 @@ import json
 import os
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +72,25 @@ def test_a_task_that_dies_asks_for_the_rest_alone(spark, tmp_path):
     assert len(seen(path)) == 20 and sorted(seen(path).values())[-2:] == [1, 2]
 
 
+def test_a_task_holds_few_requests_at_a_time(spark, tmp_path, monkeypatch):
+    """However many requests a task has, and the session's batches are as they were afterwards."""
+    key, held, put = "spark.sql.execution.arrow.maxRecordsPerBatch", [], calls.stage
+    before = spark.conf.get(key)
+
+    def sizes(df, label):
+        if label == "replies":
+            rows = df.select("digest").mapInPandas(lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches), "n long")
+            held.extend(r["n"] for r in rows.collect())
+        return put(df, label)
+
+    monkeypatch.setattr(calls, "stage", sizes)
+    log = calls.ReplyLog(spark, f"{tmp_path}/log", lambda request, digest: request.upper(), parallel=1)
+    got = log.ask(spark.range(300).selectExpr("concat('request ', id) AS request")).collect()
+    assert len(got) == 300 and all(r["reply"] == r["request"].upper() for r in got)
+    assert sum(held) == 300 and max(held) <= 64
+    assert spark.conf.get(key) == before
+
+
 def test_pauses_double():
     waits = []
 
