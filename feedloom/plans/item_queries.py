@@ -245,7 +245,10 @@ def tag_lists(spark, sf_dir):
 
 @query("""SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ') <> '')) AS n_lines, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')[1] AS head FROM documents""")
 def text_lines(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.line_count(F.col("text")).alias("n_lines"), text.first_line(F.col("text")).alias("head"))
+    """A null text has a null count, and a text without lines a null head."""
+    t = F.col("text")
+    n = F.when(t.isNotNull(), text.line_count(t))
+    return table(spark, sf_dir, "documents").select("doc_id", n.alias("n_lines"), F.nullif(text.first_line(t), F.lit("")).alias("head"))
 
 
 @query("""SELECT status, count(*) AS n_rows FROM (SELECT 'done' AS status FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT 'pending' FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0))) GROUP BY 1""")
