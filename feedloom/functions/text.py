@@ -52,6 +52,13 @@ HEDGES = [
     "全面", "显著", "大幅", "明显", "进一步", "不断", "逐步",
 ]
 
+# Dashes that count in tone, and how an item of a list begins.
+DASHES = ["——", "—"]
+LISTED = r"^\s*(?:[-*•]|\d+[.)、]|[一二三四五六七八九十]+[、.])\s*"
+
+#: The characters of Unicode's class Zs.
+SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
 # Least and most characters of a text by platform.
 PLATFORM_LIMITS = {"xiaohongshu": (120, 450), "weibo": (50, 140), "twitter": (50, 280), "x": (50, 380)}
 
@@ -201,26 +208,40 @@ def coverage(a: Column, b: Column) -> Column:
     return F.when(small > 0, F.size(F.array_intersect(x, y)) / small).otherwise(F.lit(0.0))
 
 
-def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, r"[。！？!?；;\n]+"), lambda s: F.trim(s)), lambda s: s != "")
+def stripped(text: Column, blanks: str = " ") -> Column:
+    """``text`` without any of ``blanks`` at its ends."""
+    return F.trim(text) if blanks == " " else F.trim(text, F.lit(blanks))
+
+
+def sentences(text: Column, blanks: str = " ") -> Column:
+    return F.filter(F.transform(F.split(text, r"[。！？!?；;\n]+"), lambda s: stripped(s, blanks)), lambda s: s != "")
 
 
-def tone(text: Column, cliches: list[str] | None = None, hedges: list[str] | None = None) -> Column:
+def tone(
+    text: Column,
+    cliches: list[str] | None = None,
+    hedges: list[str] | None = None,
+    dashes: list[str] | None = None,
+    listed: str = LISTED,
+    blanks: str = " ",
+) -> Column:
     """Struct of how templated a text sounds: the cliches hit, densities, and a score of 0 to 100.
 
-    Sentences, lines and measures are bound, so each is made once a row.
+    Lines that match ``listed`` are items of a list; sentences and lines lose ``blanks`` at their ends.
+    Sentences, lines and measures are bound, so each is made once a row. The score is rounded as SQL
+    rounds doubles: a hundredfold first, then to the even integer, not by its decimal digits.
     """
-    cliches, hedges = cliches or CLICHES, hedges or HEDGES
+    cliches, hedges, dashes = cliches or CLICHES, hedges or HEDGES, DASHES if dashes is None else dashes
     text = F.coalesce(text, F.lit(""))
     hits = F.array_compact(F.array(*[F.when(F.contains(text, F.lit(w)), F.lit(w)) for w in cliches]))
     average = lambda parts: F.when(F.size(parts) > 0, F.aggregate(parts, F.lit(0), lambda a, s: a + F.length(s)) / F.size(parts)).otherwise(F.lit(0.0))
-    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    listed = lambda x: x.rlike(r"^\s*(?:[-*•]|\d+[.)、]|[一二三四五六七八九十]+[、.])\s*") | (F.length(x) <= 8)
-    bullet = lambda of: F.when(F.size(of) > 0, F.size(F.filter(of, listed)) / F.size(of)).otherwise(F.lit(0.0))
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: stripped(x, blanks)), lambda x: x != "")
+    item = lambda x: x.rlike(listed) | (F.length(x) <= 8)
+    bullet = lambda of: F.when(F.size(of) > 0, F.size(F.filter(of, item)) / F.size(of)).otherwise(F.lit(0.0))
     measures = F.struct(
         _counted(text, cliches).alias("cliches"),
-        _counted(text, ["——", "—"]).alias("dashes"),
-        bound(sentences(text), average).alias("average"),
+        _counted(text, dashes).alias("dashes"),
+        bound(sentences(text, blanks), average).alias("average"),
         (_counted(text, hedges) / F.greatest(F.length(text) / 100, F.lit(1.0))).alias("hedge"),
         bound(lines, bullet).alias("bullet"),
     )
@@ -240,7 +261,7 @@ def tone(text: Column, cliches: list[str] | None = None, hedges: list[str] | Non
             F.when(blank, 0.0).otherwise(F.bround(m["average"], 2)).alias("avg_sentence_len"),
             F.when(blank, 0.0).otherwise(F.bround(m["hedge"], 2)).alias("hedge_density"),
             F.when(blank, 0.0).otherwise(F.bround(m["bullet"], 2)).alias("bullet_density"),
-            F.when(blank, 0.0).otherwise(F.bround(F.least(score, F.lit(100.0)), 2)).alias("ai_score"),
+            F.when(blank, 0.0).otherwise(F.rint(F.least(score, F.lit(100.0)) * 100) / 100).alias("ai_score"),
         )
 
     return bound(measures, told)
